@@ -54,7 +54,7 @@ def _long(columns, rows: str = "x") -> str:
 @query(
     "classify_outcomes",
     f"WITH {_JUDGED} SELECT o_orderkey, o_orderpriority, o_orderstatus, label,"
-    " round(probability, 6) AS probability, actual, predicted, outcome FROM o",
+    " round(probability, 9) AS probability, actual, predicted, outcome FROM o",
 )
 def classify_outcomes(spark, sf):
     return shown(_judged(spark, sf))
@@ -63,7 +63,7 @@ def classify_outcomes(spark, sf):
 @query(
     "error_table",
     f"WITH {_TABLE} SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, line_count, quantity_sum,"
-    " round(discount_mean, 6) AS discount_mean, actual, predicted, round(probability, 6) AS probability,"
+    " round(discount_mean, 6) AS discount_mean, actual, predicted, round(probability, 9) AS probability,"
     " outcome FROM x",
 )
 def error_table(spark, sf):
@@ -188,7 +188,7 @@ def mean_differences(spark, sf):
 def _top(outcome: str) -> str:
     return (
         f"WITH {_JUDGED} SELECT o_orderkey, o_orderpriority, o_orderstatus, label,"
-        " round(probability, 6) AS probability, actual, predicted, outcome FROM ("
+        " round(probability, 9) AS probability, actual, predicted, outcome FROM ("
         f"SELECT * FROM o WHERE outcome = '{outcome}' ORDER BY probability DESC, o_orderkey LIMIT 10)"
     )
 
@@ -208,7 +208,7 @@ def top_false_negatives(spark, sf):
     f"""WITH {_JUDGED}, r AS (SELECT *, row_number() OVER (
         PARTITION BY o_orderstatus ORDER BY probability DESC, o_orderkey) AS place
       FROM o WHERE outcome = 'false_positive')
-    SELECT o_orderkey, o_orderpriority, o_orderstatus, label, round(probability, 6) AS probability,
+    SELECT o_orderkey, o_orderpriority, o_orderstatus, label, round(probability, 9) AS probability,
       actual, predicted, outcome FROM r WHERE place <= 5""",
 )
 def top_false_positives_by_status(spark, sf):
@@ -243,7 +243,7 @@ _STUDIED = {"default_0_5": 0.5, "best_f1": 0.8, "minimum_recall": 0.7, "lowest_c
     + """) v(selection, threshold))
     SELECT selection, round(threshold, 6) AS threshold,
       CASE WHEN label = 1 THEN 'false_negative' ELSE 'false_positive' END AS outcome,
-      round(probability, 6) AS probability, o_orderkey, o_orderpriority, o_orderstatus
+      round(probability, 9) AS probability, o_orderkey, o_orderpriority, o_orderstatus
     FROM s JOIN d ON CAST(probability >= threshold AS INTEGER) <> label""",
 )
 def error_cases(spark, sf):
@@ -259,7 +259,7 @@ def error_cases(spark, sf):
 
 @query(
     "batch_predict",
-    f"""WITH {sql.SCORED} SELECT o_orderkey, round(probability, 6) AS failure_probability,
+    f"""WITH {sql.SCORED} SELECT o_orderkey, round(probability, 9) AS failure_probability,
       CAST(probability >= CAST(0.8 AS DOUBLE) AS INTEGER) AS predicted_failure FROM s""",
 )
 def batch_predict(spark, sf):
@@ -269,7 +269,7 @@ def batch_predict(spark, sf):
 @query(
     "predictions_joined",
     """WITH p AS (SELECT doc_id, n_chars / CAST(25000 AS DOUBLE) AS q FROM documents WHERE lang <> 'es')
-    SELECT d.doc_id, lang, source, n_chars, round(q, 6) AS failure_probability,
+    SELECT d.doc_id, lang, source, n_chars, round(q, 9) AS failure_probability,
       CAST(q >= CAST(0.2 AS DOUBLE) AS INTEGER) AS predicted_failure
     FROM documents d LEFT JOIN p ON d.doc_id = p.doc_id""",
 )

@@ -149,7 +149,7 @@ def tie_rule(spark, sf):
 
 @query(
     "pr_curve",
-    f"""WITH {sql.EVENTS}, {_curve('e')} SELECT round(score, 6) AS score, tp, fp,
+    f"""WITH {sql.EVENTS}, {_curve('e')} SELECT round(score, 9) AS score, tp, fp,
       round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision, round(tp / all_p, 6) AS recall FROM curve""",
 )
 def pr_curve(spark, sf):
@@ -158,7 +158,7 @@ def pr_curve(spark, sf):
 
 @query(
     "roc_curve",
-    f"""WITH {sql.MODELS}, {_curve('m', 'model')} SELECT model, round(score, 6) AS score, tp, fp,
+    f"""WITH {sql.MODELS}, {_curve('m', 'model')} SELECT model, round(score, 9) AS score, tp, fp,
       round(tp / all_p, 6) AS tpr, round(fp / all_n, 6) AS fpr FROM curve""",
 )
 def roc_curve(spark, sf):

@@ -135,7 +135,7 @@ def balanced_weights(spark, sf):
 @query(
     "dummy_prior_scores",
     f"""{_PARTS}, p AS (SELECT avg(label) AS p FROM parts WHERE split = 'train')
-    SELECT o_orderkey, label, split, round(p, 6) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction
+    SELECT o_orderkey, label, split, round(p, 9) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction
     FROM parts, p WHERE split = 'validation'""",
 )
 def dummy_prior_scores(spark, sf):

@@ -150,11 +150,16 @@ parts AS (
   FROM ranked JOIN val_size ON ranked.y = val_size.y)"""
 
 
-def shown(df: DataFrame, digits: int = 6) -> DataFrame:
+# A score built from cents and hundredths has nine decimals; rounding it to six would
+# meet ties, which the two engines may break differently.
+SCORES = ("probability", "score", "failure_probability")
+
+
+def shown(df: DataFrame) -> DataFrame:
     """Doubles rounded, as in the oracles: sums of doubles depend on their order."""
     return df.select(
         *[
-            F.round(col(c), digits).alias(c) if kind == "double" else col(c)
+            F.round(col(c), 9 if c in SCORES else 6).alias(c) if kind == "double" else col(c)
             for c, kind in df.dtypes
         ]
     )
