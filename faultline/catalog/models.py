@@ -17,7 +17,7 @@ from faultline.catalog.sql import shown
 from faultline.operators import importance, models
 from faultline.operators.splits import stratified_split as split_table
 from faultline.plans import workflows
-from faultline.plans.settle import checkpoint_dir
+from faultline.functions.settle import checkpoint_dir
 from faultline.sources import bindings as b
 
 QUERIES = {}

@@ -318,6 +318,15 @@ def numeric_summary(spark, sf):
     return shown(profile.numeric_summary(b.orders_table(spark, sf), NUMERIC))
 
 
+@query(
+    "numeric_summary_bucketed",
+    f"WITH {sql.LINES}, v AS ({_long('t', b.LINES.numeric)}) SELECT feature, {_STATS} FROM v GROUP BY feature",
+)
+def numeric_summary_bucketed(spark, sf):
+    """The way of large tables: quantiles by ordered buckets, no group in one task."""
+    return shown(profile.numeric_summary(b.lines_table(spark, sf), b.LINES.numeric, buckets=64))
+
+
 @query(
     "describe_numeric",
     f"WITH {sql.LINES}, v AS ({_long('t', b.LINES.numeric)}) SELECT feature, {_STATS} FROM v GROUP BY feature",
@@ -332,10 +341,10 @@ def describe_numeric(spark, sf):
     f" SELECT l_suppkey, feature, {_STATS} FROM v GROUP BY l_suppkey, feature",
 )
 def numeric_by_supplier(spark, sf):
-    """The summary with open groups: no broadcast, any number of suppliers."""
+    """Any number of groups, by ordered buckets and without a broadcast."""
     return shown(
         profile.numeric_summary(
-            b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey"
+            b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey", buckets=16
         )
     )
 

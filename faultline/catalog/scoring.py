@@ -92,6 +92,15 @@ def average_precision(spark, sf):
     return shown(metrics.average_precision(b.events_scored(spark, sf)))
 
 
+@query(
+    "ranking_bucketed",
+    f"WITH {sql.MODELS}, {_curve('m', 'model')} SELECT model, {_RANKING} FROM curve GROUP BY model",
+)
+def ranking_bucketed(spark, sf):
+    """The way of large tables: running totals by ordered buckets."""
+    return shown(metrics.ranking_metrics(b.orders_models(spark, sf), "model", buckets=64))
+
+
 @query(
     "ranking_by_user",
     f"""WITH {sql.EVENTS}, {_curve('e', 'user_id')},

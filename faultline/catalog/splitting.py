@@ -147,7 +147,7 @@ def dummy_prior_scores(spark, sf):
 @query(
     "derived_features",
     """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-      round(l_extendedprice / l_quantity, 6) AS unit_price,
+      round(l_extendedprice / l_quantity, 8) AS unit_price,
       round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6) AS charge,
       round(l_quantity * l_discount, 6) AS discounted_units
     FROM lineitem""",
@@ -171,5 +171,6 @@ def derived_features(spark, sf):
             "unit_price",
             "charge",
             "discounted_units",
-        )
+        ),
+        unit_price=8,
     )

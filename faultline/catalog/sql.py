@@ -155,11 +155,12 @@ parts AS (
 SCORES = ("probability", "score", "failure_probability")
 
 
-def shown(df: DataFrame) -> DataFrame:
+def shown(df: DataFrame, **digits: int) -> DataFrame:
     """Doubles rounded, as in the oracles: sums of doubles depend on their order."""
+    places = {**dict.fromkeys(SCORES, 9), **digits}
     return df.select(
         *[
-            F.round(col(c), 9 if c in SCORES else 6).alias(c) if kind == "double" else col(c)
+            F.round(col(c), places.get(c, 6)).alias(c) if kind == "double" else col(c)
             for c, kind in df.dtypes
         ]
     )

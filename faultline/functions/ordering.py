@@ -1,11 +1,15 @@
 """Exact ranks, running totals and quantiles without one task seeing a whole group.
 
 A plain ``Window.orderBy(score)`` or an exact ``percentile`` brings a whole group into
-one task. Here every value first gets an ordered bucket. The bucket bounds come from an
-approximate quantile sketch, so a bucket holds about 1/buckets of all rows however the
-values or the groups are skewed; equal values are added up before the shuffle, so a
-value shared by a third of all rows is one row. The bounds steer the balance only: the
-results are exact for any bounds.
+one task. That is fine for a counted, small table (ONE_TASK_ROWS) and only there. Beyond
+it every value first gets an ordered bucket. The bucket bounds come from an approximate
+quantile sketch, so a bucket holds about 1/buckets of all rows however the values or the
+groups are skewed; equal values are added up before the shuffle, so a value shared by a
+third of all rows is one row per task. The bounds steer the balance only: the results are
+exact for any bounds.
+
+The rows are counted first, so the input is read more than once: settle it when it is
+expensive to compute.
 """
 
 from __future__ import annotations
@@ -14,20 +18,21 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.functions.columns import col, match, number
+from faultline.functions.columns import beside, col, match, number, unpivot_numeric
 
-MOST_BUCKETS = 4096
+ONE_TASK_ROWS = 1_000_000
+MOST_BUCKETS = 16_384
 
 
-def bucket_count(spark: SparkSession, buckets: int | None = None) -> int:
-    """Twice the shuffle partitions, so that buckets balance over the reducers."""
+def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
+    """1 for a table one task can hold, else about ONE_TASK_ROWS rows to a bucket."""
     if buckets is not None:
-        return max(2, min(buckets, MOST_BUCKETS))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(2 * partitions, MOST_BUCKETS))
+        return max(1, min(buckets, MOST_BUCKETS))
+    rows = df.count()
+    return 1 if rows <= ONE_TASK_ROWS else max(16, min(2 * rows // ONE_TASK_ROWS, MOST_BUCKETS))
 
 
 def split_points(
@@ -64,16 +69,37 @@ def running_totals(
     earlier buckets add enters each bucket as one carry-in row, sorted first, so no join
     is needed. Each window holds one bucket of one group, or one group's bucket totals.
     """
-    size = bucket_count(df.sparkSession, buckets)
+    size = bucket_count(df, buckets)
     groups = [col(g) for g in group_by]
     plain = df.select(
         *groups,
         number(order).alias("_value"),
         *[m.alias(name) for name, m in measures.items()],
     ).where(F.col("_value").isNotNull())
-    placed = add_buckets(plain, {"_value": "_bucket"}, size)
-
     sums = [F.sum(col(name)).alias(name) for name in measures]
+    value_order = (
+        F.desc_nulls_first("_value") if descending else F.asc_nulls_first("_value")
+    )
+
+    def before(rows: DataFrame, *partition: Column) -> DataFrame:
+        inside = (
+            Window.partitionBy(*partition)
+            .orderBy(value_order)
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        running = {
+            f"{name}_before": F.coalesce(F.sum(col(name)).over(inside), F.lit(0))
+            for name in measures
+        }
+        kept = rows.withColumns(running).where(F.col("_value").isNotNull())
+        return kept.select(
+            *groups, F.col("_value").alias(order), *measures, *running
+        )
+
+    if size == 1:
+        return before(plain.groupBy(*groups, "_value").agg(*sums), *groups)
+
+    placed = add_buckets(plain, {"_value": "_bucket"}, size)
     by_value = placed.groupBy(*groups, "_bucket", "_value").agg(*sums)
     by_bucket = by_value.groupBy(*groups, "_bucket").agg(*sums)
 
@@ -92,28 +118,7 @@ def running_totals(
             for name in measures
         ],
     )
-    value_order = (
-        F.desc_nulls_first("_value") if descending else F.asc_nulls_first("_value")
-    )
-    inside = (
-        Window.partitionBy(*groups, "_bucket")
-        .orderBy(value_order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        by_value.unionByName(carry)
-        .select(
-            *groups,
-            "_value",
-            *[col(name) for name in measures],
-            *[
-                F.sum(col(name)).over(inside).alias(f"{name}_before")
-                for name in measures
-            ],
-        )
-        .where(F.col("_value").isNotNull())
-        .withColumnRenamed("_value", order)
-    )
+    return before(by_value.unionByName(carry), *groups, F.col("_bucket"))
 
 
 def exact_quantiles(
@@ -123,17 +128,39 @@ def exact_quantiles(
     group_by: Sequence[str] = (),
     few_groups: bool = False,
     buckets: int | None = None,
+    aggregates: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles: (group..., feature, one column per fraction).
 
+    ``aggregates`` of the columns feature and value are added, over all rows, missing
+    values included; quantiles leave missing values out.
+
     Bucket counts, an aggregate of at most ``buckets`` rows per group and feature, show
     which bucket holds each wanted rank. Only the rows of those buckets, a small part of
     the table, are then counted by value and ranked. ``few_groups`` says that the groups
     are a small closed set (an outcome, a binary target), which bounds the wanted-ranks
     table by groups x features x fractions and lets it be broadcast.
     """
-    size = bucket_count(df.sparkSession, buckets)
+    size = bucket_count(df, buckets)
     groups = [col(g) for g in group_by]
+    keys = [*group_by, "feature"]
+    others = [value.alias(name) for name, value in (aggregates or {}).items()]
+    if size == 1:
+        return (
+            unpivot_numeric(df, features, group_by)
+            .groupBy(*groups, "feature")
+            .agg(
+                *others,
+                F.percentile("value", list(fractions.values())).alias("_q"),
+            )
+            .select(
+                *groups,
+                "feature",
+                *(aggregates or {}),
+                *[F.col("_q")[i].alias(name) for i, name in enumerate(fractions)],
+            )
+        )
+
     values = {f"_v{i}": f"_b{i}" for i in range(len(features))}
     wide = df.select(
         *groups, *[number(f).alias(f"_v{i}") for i, f in enumerate(features)]
@@ -212,9 +239,13 @@ def exact_quantiles(
             ),
         )
     )
-    return found.groupBy(*groups, "feature").agg(
+    quantiles = found.groupBy(*groups, "feature").agg(
         *[
             F.max(F.when(F.col("_name") == name, F.col("_q"))).alias(name)
             for name in fractions
         ]
     )
+    if not others:
+        return quantiles
+    rest = unpivot_numeric(df, features, group_by).groupBy(*groups, "feature").agg(*others)
+    return beside([rest, quantiles], keys)

@@ -70,24 +70,28 @@ def target_table(df: DataFrame, target: str, digits: int = 3) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x, y, r) for all ordered pairs, each over rows where both are present; one pass."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    plain = df.select(*[number(c).alias(f"_v{i}") for i, c in enumerate(columns)])
-    place = {c: f"_v{i}" for i, c in enumerate(columns)}
-
-    def r(a, b):
-        x, y = F.col(place[a]), F.col(place[b])
-        both = x.isNotNull() & y.isNotNull()
-        return F.corr(F.when(both, x), F.when(both, y))
-
-    one = plain.agg(*[r(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(
-                F.struct(
-                    F.lit(x).alias("x"), F.lit(y).alias("y"), finite(F.col(f"_r{i}")).alias("r")
-                )
-            )
-    return one.select(F.inline(F.array(*cells)))
+    cells = [
+        F.struct(F.lit(i).alias("_pair"), number(a).alias("_a"), number(b).alias("_b"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    both = "_a IS NOT NULL AND _b IS NOT NULL"
+    # Long form: one small aggregate instead of a generated method per pair.
+    each = (
+        df.select(F.inline(F.array(*cells)))
+        .where(both)
+        .groupBy("_pair")
+        .agg(finite(F.corr("_a", "_b")).alias("r"))
+    )
+    names = [
+        F.array(
+            *[
+                F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
+                for x, y in dict.fromkeys(((a, b), (b, a)))
+            ]
+        )
+        for a, b in pairs
+    ]
+    return each.select(F.inline(F.array(*names)[F.col("_pair")]), "r")
 
 
 def range_review(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.arguments import at_least_one
 from faultline.functions.columns import col
+from faultline.functions.settle import settle
 from faultline.operators.metrics import average_precision
 from faultline.spec import SEED
 
@@ -94,8 +95,8 @@ def permutation_importance(
     does. The standard deviation over repeats is the population one.
     """
     copies = permuted_copies(df, key, features, repeats, seed, block_rows, (label,))
-    scored = score(copies).select(
-        "feature", "repeat", col(label).alias("label"), "probability"
+    scored = settle(
+        score(copies).select("feature", "repeat", col(label).alias("label"), "probability")
     )
     # features x repeats + 1 rows from here on.
     each = average_precision(scored, ("feature", "repeat"))

@@ -39,6 +39,7 @@ def _logistic(weight_sum: float) -> Estimator:
         labelCol="_label",
         weightCol="weight",
         maxIter=1000,
+        tol=1e-4,
         regParam=1.0 / weight_sum,
         elasticNetParam=0.0,
         standardization=False,
@@ -98,16 +99,18 @@ def fit_models(
 ) -> dict[str, tuple[PipelineModel, float]]:
     """Fit every model on the training rows: {name: (pipeline model, seconds)}.
 
-    The preparation depends on the rows only, so it is fitted once and its vectors are
-    cached (with spill to disk) for all models.
+    The preparation depends on the rows only, so it is fitted once. Its steps read the
+    training rows several times and the solvers read the vectors many times: both are
+    cached with spill to disk, the rows only until the vectors exist.
     """
-    weighted = balanced_weights(train, spec.target).withColumn(
-        "_label", number(spec.target)
-    )
+    columns = [col(c) for c in (*spec.features, spec.target)]
+    rows = train.select(*columns).persist()
+    weighted = balanced_weights(rows, spec.target).withColumn("_label", number(spec.target))
     prepared = preparation(spec).fit(weighted)
     vectors = prepared.transform(weighted).select("_label", "weight", "features").persist()
     try:
         weight_sum = vectors.agg(F.sum("weight")).first()[0]
+        rows.unpersist()
         fitted = {}
         for name, make in models.items():
             started = time.perf_counter()
@@ -116,6 +119,7 @@ def fit_models(
             fitted[name] = (PipelineModel(stages=[prepared, model]), seconds)
         return fitted
     finally:
+        rows.unpersist()
         vectors.unpersist()
 
 

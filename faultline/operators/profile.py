@@ -16,7 +16,6 @@ from faultline.functions.columns import (
     names_of,
     number,
     percent,
-    unpivot_numeric,
 )
 from faultline.functions.ordering import exact_quantiles
 from faultline.spec import HIGH_IMBALANCE_RATIO, DatasetSpec
@@ -151,34 +150,24 @@ def numeric_summary(
     interpolated, non-finite results are NULL.
     """
     groups = names_of(group_by)
-    keys = [*groups, "feature"]
     value = F.col("value")
-    moments = (
-        unpivot_numeric(df, features, groups)
-        .groupBy(*[col(k) for k in keys])
-        .agg(
-            F.count(value).alias("count"),
-            count_where(value.isNull()).alias("missing"),
-            finite(F.avg(value)).alias("mean"),
-            finite(F.stddev_samp(value)).alias("std"),
-            finite(F.min(value)).alias("min"),
-            finite(F.max(value)).alias("max"),
-        )
-    )
-    quartiles = exact_quantiles(df, features, QUARTILES, groups, few_groups, buckets)
-    quartiles = quartiles.select(
-        *[col(k) for k in keys], *[finite(F.col(q)).alias(q) for q in QUARTILES]
-    )
-    return beside([moments, quartiles], keys).select(
-        *[col(k) for k in keys],
+    moments = {
+        "count": F.count(value),
+        "missing": count_where(value.isNull()),
+        "mean": finite(F.avg(value)),
+        "std": finite(F.stddev_samp(value)),
+        "min": finite(F.min(value)),
+        "max": finite(F.max(value)),
+    }
+    summary = exact_quantiles(df, features, QUARTILES, groups, few_groups, buckets, moments)
+    return summary.select(
+        *[col(k) for k in (*groups, "feature")],
         "count",
         "missing",
         "mean",
         "std",
         "min",
-        "q1",
-        "median",
-        "q3",
+        *[finite(F.col(q)).alias(q) for q in QUARTILES],
         "max",
     )
 

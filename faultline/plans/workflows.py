@@ -20,7 +20,7 @@ from faultline.operators.metrics import evaluate_models, fixed_threshold_metrics
 from faultline.operators.models import BOOSTING, COMPARISON_MODELS
 from faultline.operators.scoring import predict
 from faultline.operators.splits import development_set, split_class_counts, stratified_split
-from faultline.plans.settle import settle
+from faultline.functions.settle import settle
 from faultline.sources.tables import load_prediction_input
 from faultline.spec import (
     FALSE_NEGATIVE_COST,
