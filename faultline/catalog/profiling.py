@@ -553,3 +553,21 @@ def leakage_review(spark, sf):
 def head(spark, sf):
     orders = b.read(spark, sf, "orders").drop("o_orderdate")
     return explore.head(orders, "o_orderkey", 5)
+
+
+@query(
+    "box_stats_by_supplier",
+    f"""WITH {sql.LINES}, v AS ({_long('t', ('l_quantity', 'l_extendedprice'), 'l_suppkey')}),
+    {_FENCES.format(k="l_suppkey, ")}
+    SELECT v.l_suppkey, v.feature, round(max(q1), 6) AS q1, round(max(median), 6) AS median,
+      round(max(q3), 6) AS q3,
+      round(min(value) FILTER (value >= lower_fence AND value <= upper_fence), 6) AS lower_whisker,
+      round(max(value) FILTER (value >= lower_fence AND value <= upper_fence), 6) AS upper_whisker,
+      count(*) FILTER (value < lower_fence OR value > upper_fence) AS outliers
+    FROM v JOIN g ON v.feature = g.feature AND v.l_suppkey = g.l_suppkey GROUP BY v.l_suppkey, v.feature""",
+)
+def box_stats_by_supplier(spark, sf):
+    """Any number of groups: the fences join by salted keys, not by broadcast."""
+    return shown(
+        explore.box_stats(b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey")
+    )

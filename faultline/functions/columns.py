@@ -70,6 +70,25 @@ def match(
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
+def match_spread(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    spread_on: str,
+    salts: int = 64,
+) -> DataFrame:
+    """``match`` for a right side with one row per key and a left side with hot keys.
+
+    Each left row goes to one of ``salts`` copies of its right row, chosen by a hash of
+    ``spread_on``, so a key that holds a third of all rows is joined by many tasks.
+    """
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(col(spread_on)), F.lit(salts)))
+    copies = right.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    )
+    return match(salted, copies, [*keys, "_salt"]).drop("_salt")
+
+
 def beside(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Put the columns of frames with one row per key side by side.
 

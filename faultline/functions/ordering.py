@@ -63,11 +63,11 @@ def running_totals(
     descending: bool = False,
     buckets: int | None = None,
 ) -> DataFrame:
-    """One row per (group, order value) with summed measures and ``<measure>_before``.
+    """Per (group, order value): summed measures, ``<measure>_before``, ``<measure>_total``.
 
-    ``<measure>_before`` totals all rows of the group that come strictly earlier. What
-    earlier buckets add enters each bucket as one carry-in row, sorted first, so no join
-    is needed. Each window holds one bucket of one group, or one group's bucket totals.
+    ``_before`` adds up all rows of the group that come strictly earlier, ``_total`` the
+    whole group. What earlier buckets add, and the total, enter each bucket with one
+    carry-in row that is sorted first, so no join is needed. Each window holds one bucket of one group, or one group's bucket totals.
     """
     size = bucket_count(df, buckets)
     groups = [col(g) for g in group_by]
@@ -81,7 +81,7 @@ def running_totals(
         F.desc_nulls_first("_value") if descending else F.asc_nulls_first("_value")
     )
 
-    def before(rows: DataFrame, *partition: Column) -> DataFrame:
+    def finish(rows: DataFrame, partition: list[Column], totals: dict[str, Column]):
         inside = (
             Window.partitionBy(*partition)
             .orderBy(value_order)
@@ -91,24 +91,22 @@ def running_totals(
             f"{name}_before": F.coalesce(F.sum(col(name)).over(inside), F.lit(0))
             for name in measures
         }
-        kept = rows.withColumns(running).where(F.col("_value").isNotNull())
+        kept = rows.withColumns({**running, **totals}).where(F.col("_value").isNotNull())
         return kept.select(
-            *groups, F.col("_value").alias(order), *measures, *running
+            *groups, F.col("_value").alias(order), *measures, *running, *totals
         )
 
+    whole = Window.partitionBy(*groups)
     if size == 1:
-        return before(plain.groupBy(*groups, "_value").agg(*sums), *groups)
+        totals = {f"{name}_total": F.sum(col(name)).over(whole) for name in measures}
+        return finish(plain.groupBy(*groups, "_value").agg(*sums), groups, totals)
 
     placed = add_buckets(plain, {"_value": "_bucket"}, size)
     by_value = placed.groupBy(*groups, "_bucket", "_value").agg(*sums)
     by_bucket = by_value.groupBy(*groups, "_bucket").agg(*sums)
-
-    bucket_order = F.desc("_bucket") if descending else F.asc("_bucket")
-    earlier = (
-        Window.partitionBy(*groups)
-        .orderBy(bucket_order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = whole.orderBy(
+        F.desc("_bucket") if descending else F.asc("_bucket")
+    ).rowsBetween(Window.unboundedPreceding, -1)
     carry = by_bucket.select(
         *groups,
         "_bucket",
@@ -117,8 +115,18 @@ def running_totals(
             F.coalesce(F.sum(col(name)).over(earlier), F.lit(0)).alias(name)
             for name in measures
         ],
+        *[F.sum(col(name)).over(whole).alias(f"_{name}_all") for name in measures],
+    )
+    in_bucket = [*groups, F.col("_bucket")]
+    from_first = (
+        Window.partitionBy(*in_bucket)
+        .orderBy(value_order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return before(by_value.unionByName(carry), *groups, F.col("_bucket"))
+    totals = {
+        f"{name}_total": F.first(col(f"_{name}_all")).over(from_first) for name in measures
+    }
+    return finish(by_value.unionByName(carry, allowMissingColumns=True), in_bucket, totals)
 
 
 def exact_quantiles(
@@ -202,24 +210,31 @@ def exact_quantiles(
             F.collect_list(F.struct("_name", "_at", "_low", "_high")).alias("_wanted"),
         )
     )
-    if not group_by or few_groups:
-        wanted = F.broadcast(wanted)
-
     place = [*group_by, "feature", "_bucket"]
     inside = (
         Window.partitionBy(*[col(p) for p in place])
         .orderBy("_value")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranked = (
-        match(long, wanted, place)
-        .groupBy(*[col(p) for p in place], "_value")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.first("_start").alias("_start"),
-            F.first("_wanted").alias("_wanted"),
+    exact = [*[col(p) for p in place], "_value"]
+    if not group_by or few_groups:
+        # At most groups x features x 2 fractions rows: few rows survive, then count.
+        counts = (
+            match(long, F.broadcast(wanted), place)
+            .groupBy(*exact)
+            .agg(
+                F.count(F.lit(1)).alias("_n"),
+                F.first("_start").alias("_start"),
+                F.first("_wanted").alias("_wanted"),
+            )
         )
-        .withColumn(
+    else:
+        # The join may shuffle: count equal values first, so that none of them is hot.
+        counts = match(
+            long.groupBy(*exact).agg(F.count(F.lit(1)).alias("_n")), wanted, place
+        )
+    ranked = (
+        counts.withColumn(
             "_from", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
         )
         .withColumn("_to", F.col("_from") + F.col("_n"))

@@ -95,11 +95,14 @@ def target_check(df: DataFrame, target: str, least_rows: int = 3) -> DataFrame:
     )
 
 
-def require_stratifiable(df: DataFrame, target: str, least_rows: int = 3) -> None:
-    bad = target_check(df, target, least_rows).where("violation IS NOT NULL").collect()
+def require_stratifiable(df: DataFrame, target: str, least_rows: int = 3) -> int:
+    """Raise unless both classes are there with enough rows; returns the row count."""
+    checked = target_check(df, target, least_rows).collect()
+    bad = [r for r in checked if r["violation"]]
     if bad:
         found = "; ".join(f"{r['label']}: {r['violation']} ({r['count']})" for r in bad)
         raise ValueError(f"target cannot be stratified: {found}")
+    return sum(r["count"] for r in checked)
 
 
 def score_check(

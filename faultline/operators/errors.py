@@ -28,6 +28,10 @@ from faultline.spec import OUTCOMES
 CORRECT_OUTCOME = {"false_positive": "true_negative", "false_negative": "true_positive"}
 
 
+# Largest n for which Spark limits a ranked window before its shuffle.
+PARTIAL_LIMIT = 1000
+
+
 def outcome_of(actual: Column, predicted: Column) -> Column:
     return (
         F.when((actual == 0) & (predicted == 0), "true_negative")
@@ -174,8 +178,17 @@ def top_errors(
     groups = names_of(group_by)
     if not groups:
         return wrong.orderBy(*order).limit(n)
-    place = Window.partitionBy(*[col(g) for g in groups]).orderBy(*order)
-    return wrong.withColumn("_rank", F.row_number().over(place)).where(F.col("_rank") <= n).drop("_rank")
+
+    def best(rows: DataFrame, *partition) -> DataFrame:
+        place = Window.partitionBy(*partition).orderBy(*order)
+        ranked = rows.withColumn("_rank", F.row_number().over(place))
+        return ranked.where(F.col("_rank") <= n).drop("_rank")
+
+    held = [col(g) for g in groups]
+    if n > PARTIAL_LIMIT:  # beyond it no task keeps its own best: spread a hot group first
+        salt = F.pmod(F.xxhash64(col(key)), F.lit(64))
+        wrong = best(wrong.withColumn("_salt", salt), *held, F.col("_salt")).drop("_salt")
+    return best(wrong, *held)
 
 
 def error_focus(df: DataFrame, features: Sequence[str], categorical: Sequence[str], error: str) -> DataFrame:

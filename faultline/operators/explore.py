@@ -14,6 +14,7 @@ from faultline.functions.columns import (
     finite,
     level,
     match,
+    match_spread,
     names_of,
     number,
     percent,
@@ -113,7 +114,8 @@ def range_review(
 
 def _with_fences(
     df: DataFrame, features: Sequence[str], groups: list[str], few_groups: bool
-) -> tuple[DataFrame, DataFrame]:
+) -> DataFrame:
+    """(group..., feature, value, _n, quartiles, fences): values, each standing for _n rows."""
     keys = [*groups, "feature"]
     fences = (
         exact_quantiles(
@@ -123,9 +125,10 @@ def _with_fences(
         .withColumn("upper_fence", F.expr(f"q3 + {FENCE} * (q3 - q1)"))
     )
     long = unpivot_numeric(df, features, groups).where("value IS NOT NULL")
-    # Without groups, or with a closed set of them, one row per feature and group.
-    side = F.broadcast(fences) if not groups or few_groups else fences
-    return fences, match(long, side, keys)
+    if not groups or few_groups:  # one row per feature and group of a closed set
+        return match(long, F.broadcast(fences), keys).withColumn("_n", F.lit(1).cast("bigint"))
+    counted = long.groupBy(*[col(k) for k in keys], "value").agg(F.count(F.lit(1)).alias("_n"))
+    return match_spread(counted, fences, keys, "value")
 
 
 def outlier_counts(
@@ -136,9 +139,10 @@ def outlier_counts(
 ) -> DataFrame:
     """(group..., feature, outliers): values beyond the fences."""
     groups = names_of(group_by)
-    _, judged = _with_fences(df, features, groups, few_groups)
+    judged = _with_fences(df, features, groups, few_groups)
+    outside = F.expr("value < lower_fence OR value > upper_fence")
     return judged.groupBy(*[col(g) for g in groups], "feature").agg(
-        F.count_if(F.expr("value < lower_fence OR value > upper_fence")).alias("outliers")
+        F.sum(F.when(outside, F.col("_n")).otherwise(0)).alias("outliers")
     )
 
 
@@ -151,12 +155,12 @@ def box_stats(
     """Quartiles, whiskers (last values inside the fences) and outlier count."""
     groups = names_of(group_by)
     keys = [*groups, "feature"]
-    fences, judged = _with_fences(df, features, groups, few_groups)
+    judged = _with_fences(df, features, groups, few_groups)
     inside = F.expr("value >= lower_fence AND value <= upper_fence")
     whiskers = judged.groupBy(*[col(k) for k in keys]).agg(
         F.min(F.when(inside, F.col("value"))).alias("lower_whisker"),
         F.max(F.when(inside, F.col("value"))).alias("upper_whisker"),
-        count_where(~inside).alias("outliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("outliers"),
         F.max("q1").alias("q1"),
         F.max("median").alias("median"),
         F.max("q3").alias("q3"),

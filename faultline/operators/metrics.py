@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.arguments import threshold_list, threshold_value
-from faultline.functions.columns import beside, col, count_where, match, names_of, number, ratio
+from faultline.functions.columns import beside, col, count_where, names_of, number, ratio
 from faultline.functions.ordering import running_totals
 from faultline.spec import THRESHOLDS
 
@@ -95,52 +95,38 @@ def score_curve(
         "negatives",
         "positives_before",
         "negatives_before",
+        "positives_total",
+        "negatives_total",
         (F.col("positives_before") + F.col("positives")).alias("tp"),
         (F.col("negatives_before") + F.col("negatives")).alias("fp"),
     )
 
 
-def _curve_totals(curve: DataFrame, groups: list[str]) -> DataFrame:
-    return curve.groupBy(*[col(g) for g in groups]).agg(
-        F.sum("positives").alias("_p"), F.sum("negatives").alias("_n")
-    )
-
-
-def _with_totals(curve: DataFrame, groups: list[str]) -> DataFrame:
-    """Add the class totals of each group to its curve points."""
-    totals = _curve_totals(curve, groups)
-    if groups:
-        return match(curve, totals, groups)
-    return curve.withColumn("_t", totals.select(F.struct("_p", "_n").alias("t")).scalar()).select(
-        "*", "_t._p", "_t._n"
-    )
-
-
 def pr_curve(df: DataFrame, group_by: str | Sequence[str] = (), **options) -> DataFrame:
     """(group..., score, tp, fp, precision, recall) per distinct score."""
     groups = names_of(group_by)
-    points = _with_totals(score_curve(df, group_by=groups, **options), groups)
+    points = score_curve(df, group_by=groups, **options)
     return points.select(
         *[col(g) for g in groups],
         "score",
         "tp",
         "fp",
         ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-        ratio(F.col("tp"), F.col("_p")).alias("recall"),
+        ratio(F.col("tp"), F.col("positives_total")).alias("recall"),
     )
 
 
 def roc_curve(df: DataFrame, group_by: str | Sequence[str] = (), **options) -> DataFrame:
     """(group..., score, tp, fp, tpr, fpr) per distinct score."""
     groups = names_of(group_by)
-    points = _with_totals(score_curve(df, group_by=groups, **options), groups)
+    points = score_curve(df, group_by=groups, **options)
     return points.select(
         *[col(g) for g in groups],
         "score",
         "tp",
         "fp",
-        ratio(F.col("tp"), F.col("_p")).alias("tpr"),
-        ratio(F.col("fp"), F.col("_n")).alias("fpr"),
+        ratio(F.col("tp"), F.col("positives_total")).alias("tpr"),
+        ratio(F.col("fp"), F.col("negatives_total")).alias("fpr"),
     )
 
 

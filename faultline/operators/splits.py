@@ -19,7 +19,6 @@ from faultline.functions.columns import col
 from faultline.operators.checks import require_stratifiable
 from faultline.spec import SEED, TEST_FRACTION, VALIDATION_FRACTION
 
-DIGITS = 3  # leading hex digits of the hash: 4096 even buckets per class
 
 
 def row_hash(key: str, seed: int) -> Column:
@@ -80,14 +79,16 @@ def fit_split(
     validation_fraction: float = VALIDATION_FRACTION,
 ) -> SplitPlan:
     """Find the cuts. Keys must be unique; the target must hold 0 and 1 only."""
-    require_stratifiable(df, target)
+    rows = require_stratifiable(df, target)
+    # Leading hex digits of the hash: 256 to 65 536 even buckets per class.
+    digits = 2 if rows < 1_000_000 else 3 if rows < 1_000_000_000 else 4
     hashed = df.select(
         col(target).cast("int").alias("_label"),
         col(key).alias("_key"),
         row_hash(key, seed).alias("_hash"),
-    ).withColumn("_bucket", F.substring("_hash", 1, DIGITS))
+    ).withColumn("_bucket", F.substring("_hash", 1, digits))
 
-    # At most 2 x 4096 rows, whatever the table holds.
+    # At most 2 x 16^digits small rows, whatever the table holds.
     counted = hashed.groupBy("_label", "_bucket").count().collect()
     buckets: dict[int, list[tuple[str, int]]] = {}
     for row in counted:
