@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from faultline.functions.columns import col
+from faultline.functions.columns import quoted
 
 FLAGS = """
 flags AS (
@@ -158,9 +157,9 @@ SCORES = ("probability", "score", "failure_probability")
 def shown(df: DataFrame, **digits: int) -> DataFrame:
     """Doubles rounded, as in the oracles: sums of doubles depend on their order."""
     places = {**dict.fromkeys(SCORES, 9), **digits}
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(col(c), places.get(c, 6)).alias(c) if kind == "double" else col(c)
+            f"round({quoted(c)}, {places.get(c, 6)}) AS {quoted(c)}" if kind == "double" else quoted(c)
             for c, kind in df.dtypes
         ]
     )

@@ -13,7 +13,17 @@ MISSING = "<NA>"
 
 def col(name: str) -> Column:
     """Column by its exact name; dots, blanks and brackets are part of the name."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
+
+
+def quoted(name: str) -> str:
+    """The name as it is written in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal in SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def number(name: str) -> Column:
@@ -103,9 +113,8 @@ def beside(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
 def unpivot_numeric(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()):
     """Long form (keep..., feature, value), missing values included."""
-    cells = [
-        F.struct(F.lit(f).alias("feature"), number(f).alias("value")) for f in features
-    ]
-    return df.select(
-        *[col(k) for k in keep], F.inline(F.array(*cells))
+    cells = ", ".join(
+        f"named_struct('feature', {text(f)}, 'value', nanvl(double({quoted(f)}), NULL))"
+        for f in features
     )
+    return df.select(*[col(k) for k in keep], F.expr(f"inline(array({cells}))"))

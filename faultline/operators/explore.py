@@ -18,6 +18,7 @@ from faultline.functions.columns import (
     names_of,
     number,
     percent,
+    text,
     unpivot_numeric,
 )
 from faultline.functions.ordering import exact_quantiles
@@ -70,29 +71,28 @@ def target_table(df: DataFrame, target: str, digits: int = 3) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x, y, r) for all ordered pairs, each over rows where both are present; one pass."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    cells = [
-        F.struct(F.lit(i).alias("_pair"), number(a).alias("_a"), number(b).alias("_b"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    both = "_a IS NOT NULL AND _b IS NOT NULL"
+    spots = range(len(columns))
+    pairs = [(a, b) for a in spots for b in spots[a:]]
+    plain = df.select(*[number(c).alias(f"_v{i}") for i, c in enumerate(columns)])
+    cells = ", ".join(
+        f"named_struct('_pair', {i}, '_a', _v{a}, '_b', _v{b})" for i, (a, b) in enumerate(pairs)
+    )
     # Long form: one small aggregate instead of a generated method per pair.
     each = (
-        df.select(F.inline(F.array(*cells)))
-        .where(both)
+        plain.select(F.expr(f"inline(array({cells}))"))
+        .where("_a IS NOT NULL AND _b IS NOT NULL")
         .groupBy("_pair")
         .agg(finite(F.corr("_a", "_b")).alias("r"))
     )
-    names = [
-        F.array(
-            *[
-                F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
-                for x, y in dict.fromkeys(((a, b), (b, a)))
-            ]
-        )
+
+    def name(x: int, y: int) -> str:
+        return f"named_struct('x', {text(columns[x])}, 'y', {text(columns[y])})"
+
+    names = ", ".join(
+        "array(" + ", ".join(name(x, y) for x, y in dict.fromkeys(((a, b), (b, a)))) + ")"
         for a, b in pairs
-    ]
-    return each.select(F.inline(F.array(*names)[F.col("_pair")]), "r")
+    )
+    return each.select(F.expr(f"inline(array({names})[_pair])"), "r")
 
 
 def range_review(

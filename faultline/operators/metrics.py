@@ -44,12 +44,16 @@ def confusion_matrix(
 
 def rates_of_counts() -> dict[str, Column]:
     """Accuracy, precision, recall and F1 from the four counts; 0 where undefined."""
-    tn, fp, fn, tp = (F.col(c) for c in COUNTS)
+
+    def share(part: str, whole: str) -> Column:
+        return F.expr(f"CASE WHEN {whole} = 0 THEN 0D ELSE ({part}) / ({whole}) END")
+
+    tn, fp, fn, tp = COUNTS
     return {
-        "accuracy": ratio(tn + tp, tn + fp + fn + tp),
-        "precision": ratio(tp, tp + fp),
-        "recall": ratio(tp, tp + fn),
-        "f1": ratio(2 * tp, 2 * tp + fp + fn),
+        "accuracy": share(f"{tn} + {tp}", f"{tn} + {fp} + {fn} + {tp}"),
+        "precision": share(tp, f"{tp} + {fp}"),
+        "recall": share(tp, f"{tp} + {fn}"),
+        "f1": share(f"2 * {tp}", f"2 * {tp} + {fp} + {fn}"),
     }
 
 
@@ -190,39 +194,40 @@ def threshold_sweep(
     """
     groups = names_of(group_by)
     grid = threshold_list(THRESHOLDS if thresholds is None else thresholds)
-    p, y = number(probability), number(label).cast("bigint")
-    reached = F.lit(0)
-    for t in grid:
-        reached = reached + (p >= F.lit(t)).cast("int")
+    reached = " + ".join(f"int(_p >= {t!r}D)" for t in grid)
+    steps = ", ".join(
+        f"named_struct('threshold', {t!r}D, '_step', {i})" for i, t in enumerate(grid, 1)
+    )
+    keys = [col(g) for g in groups]
     binned = (
-        df.select(*[col(g) for g in groups], reached.alias("_bin"), y.alias("_y"))
-        .groupBy(*[col(g) for g in groups], "_bin")
+        df.select(*keys, number(probability).alias("_p"), number(label).cast("bigint").alias("_y"))
+        .groupBy(*keys, F.expr(reached).alias("_bin"))
         .agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_pos"))
     )
-    steps = [
-        F.struct(F.lit(t).alias("threshold"), F.lit(i).alias("_step"))
-        for i, t in enumerate(grid, 1)
-    ]
-    flagged = F.col("_bin") >= F.col("_step")
-    n, pos = F.col("_n"), F.col("_pos")
+    cells = {
+        "true_negative": ("_bin < _step", "_n - _pos"),
+        "false_positive": ("_bin >= _step", "_n - _pos"),
+        "false_negative": ("_bin < _step", "_pos"),
+        "true_positive": ("_bin >= _step", "_pos"),
+    }
     counts = (
-        binned.select("*", F.inline(F.array(*steps)))
-        .groupBy(*[col(g) for g in groups], "threshold")
+        binned.select("*", F.expr(f"inline(array({steps}))"))
+        .groupBy(*keys, "threshold")
         .agg(
-            F.sum(F.when(~flagged, n - pos).otherwise(0)).alias("true_negative"),
-            F.sum(F.when(flagged, n - pos).otherwise(0)).alias("false_positive"),
-            F.sum(F.when(~flagged, pos).otherwise(0)).alias("false_negative"),
-            F.sum(F.when(flagged, pos).otherwise(0)).alias("true_positive"),
+            *[
+                F.expr(f"sum(CASE WHEN {where} THEN {value} ELSE 0 END) AS {name}")
+                for name, (where, value) in cells.items()
+            ]
         )
     )
-    tn, fp, fn, tp = (F.col(c) for c in COUNTS)
+    flagged = "false_positive + true_positive"
     return counts.select(
-        *[col(g) for g in groups],
+        *keys,
         "threshold",
         *[value.alias(name) for name, value in rates_of_counts().items()],
         *COUNTS,
-        (fp + tp).alias("predicted_positive_count"),
-        ratio(fp + tp, tn + fp + fn + tp).alias("predicted_positive_rate"),
+        F.expr(f"{flagged} AS predicted_positive_count"),
+        F.expr(f"({flagged}) / ({' + '.join(COUNTS)}) AS predicted_positive_rate"),
     )
 
 

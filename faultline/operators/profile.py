@@ -16,6 +16,8 @@ from faultline.functions.columns import (
     names_of,
     number,
     percent,
+    quoted,
+    text,
 )
 from faultline.functions.ordering import exact_quantiles
 from faultline.spec import HIGH_IMBALANCE_RATIO, DatasetSpec
@@ -23,11 +25,14 @@ from faultline.spec import HIGH_IMBALANCE_RATIO, DatasetSpec
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
+def _gap(kind: str, name: str) -> str:
+    """SQL condition: NULL, or NaN in a floating column."""
+    null = f"{quoted(name)} IS NULL"
+    return f"{null} OR isnan({quoted(name)})" if kind in ("double", "float") else null
+
+
 def _missing(df: DataFrame, name: str):
-    """NULL, or NaN in a floating column."""
-    kind = df.schema[name].dataType.typeName()
-    value = col(name)
-    return value.isNull() | F.isnan(value) if kind in ("double", "float") else value.isNull()
+    return F.expr(_gap(dict(df.dtypes)[name], name))
 
 
 def _text(df: DataFrame, name: str):
@@ -75,38 +80,33 @@ def missing_values(df: DataFrame, spec: DatasetSpec | None = None) -> DataFrame:
     roles = dict(spec.roles()) if spec else {}
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[count_where(_missing(df, c)).alias(f"_m{i}") for i, c in enumerate(df.columns)],
+        *[F.expr(f"count_if({_gap(kind, c)}) AS _m{i}") for i, (c, kind) in enumerate(df.dtypes)],
     )
-    cells = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column"),
-            *([F.lit(roles.get(c, "other")).alias("role")] if spec else []),
-            F.col(f"_m{i}").alias("missing_count"),
-            percent(F.col(f"_m{i}"), F.col("_rows")).alias("missing_percent"),
-        )
+    cells = ", ".join(
+        f"named_struct('position', {i}, 'column', {text(c)}, "
+        + (f"'role', {text(roles.get(c, 'other'))}, " if spec else "")
+        + f"'missing_count', _m{i}, 'missing_percent', "
+        f"CASE WHEN _rows = 0 THEN 0D ELSE round(100D * _m{i} / _rows, 2) END)"
         for i, c in enumerate(df.columns)
-    ]
-    return counts.select(F.inline(F.array(*cells)))
+    )
+    return counts.select(F.expr(f"inline(array({cells}))"))
 
 
 def schema_summary(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Role and type of each contract column, with how many rows fill it."""
     types = dict(df.dtypes)
     counts = df.agg(
-        *[count_where(~_missing(df, c)).alias(f"_f{i}") for i, (c, _) in enumerate(spec.roles())]
+        *[
+            F.expr(f"count_if(NOT ({_gap(types[c], c)})) AS _f{i}")
+            for i, (c, _) in enumerate(spec.roles())
+        ]
     )
-    cells = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column"),
-            F.lit(role).alias("role"),
-            F.lit(types[c]).alias("type"),
-            F.col(f"_f{i}").alias("filled"),
-        )
+    cells = ", ".join(
+        f"named_struct('position', {i}, 'column', {text(c)}, 'role', {text(role)}, "
+        f"'type', {text(types[c])}, 'filled', _f{i})"
         for i, (c, role) in enumerate(spec.roles())
-    ]
-    return counts.select(F.inline(F.array(*cells)))
+    )
+    return counts.select(F.expr(f"inline(array({cells}))"))
 
 
 def target_summary(df: DataFrame, target: str) -> DataFrame:
@@ -197,30 +197,17 @@ def constant_columns(df: DataFrame) -> DataFrame:
     distinct.
     """
     parts = []
-    for i, c in enumerate(df.columns):
-        gone = _missing(df, c)
-        shown = F.when(~gone, col(c))
-        parts += [
-            F.min(shown).alias(f"_a{i}"),
-            F.max(shown).alias(f"_b{i}"),
-            count_where(gone).alias(f"_m{i}"),
-        ]
-    one = df.agg(F.count(F.lit(1)).alias("_rows"), *parts)
-    cells = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column"),
-            (
-                (F.col("_rows") > 0)
-                & (
-                    (F.col(f"_m{i}") == F.col("_rows"))
-                    | ((F.col(f"_m{i}") == 0) & (F.col(f"_a{i}") == F.col(f"_b{i}")))
-                )
-            ).alias("_constant"),
-        )
+    for i, (c, kind) in enumerate(df.dtypes):
+        gap = _gap(kind, c)
+        shown = f"CASE WHEN NOT ({gap}) THEN {quoted(c)} END"
+        parts += [f"min({shown}) AS _a{i}", f"max({shown}) AS _b{i}", f"count_if({gap}) AS _m{i}"]
+    one = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.expr(p) for p in parts])
+    cells = ", ".join(
+        f"named_struct('position', {i}, 'column', {text(c)}, '_constant', "
+        f"_rows > 0 AND (_m{i} = _rows OR (_m{i} = 0 AND _a{i} = _b{i})))"
         for i, c in enumerate(df.columns)
-    ]
-    return one.select(F.inline(F.array(*cells))).where("_constant").drop("_constant")
+    )
+    return one.select(F.expr(f"inline(array({cells}))")).where("_constant").drop("_constant")
 
 
 def unexpected_categories(df: DataFrame, spec: DatasetSpec) -> DataFrame:

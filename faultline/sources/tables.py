@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from faultline.functions.columns import col, number
+from faultline.functions.columns import quoted
 from faultline.operators.checks import (
     repeated_names,
     require_columns,
@@ -62,12 +62,13 @@ def conform(
 ) -> DataFrame:
     """Project the contract columns in order; NaN becomes missing once, here."""
     wanted = spec.required if columns is None else columns
-    return df.select(
-        *[
-            number(c).alias(c) if c in spec.numeric else col(c).cast(spec.type_of(c)).alias(c)
-            for c in wanted
-        ]
-    )
+    def cell(c: str) -> str:
+        name = quoted(c)
+        if c in spec.numeric:
+            return f"nanvl(CAST({name} AS DOUBLE), NULL) AS {name}"
+        return f"CAST({name} AS {spec.type_of(c).simpleString()}) AS {name}"
+
+    return df.selectExpr(*[cell(c) for c in wanted])
 
 
 def load_table(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
