@@ -268,12 +268,16 @@ def batch_predict(spark, sf):
 
 @query(
     "predictions_joined",
-    """WITH p AS (SELECT doc_id, n_chars / CAST(25000 AS DOUBLE) AS q FROM documents WHERE lang <> 'es')
-    SELECT d.doc_id, lang, source, n_chars, round(q, 9) AS failure_probability,
-      CAST(q >= CAST(0.2 AS DOUBLE) AS INTEGER) AS predicted_failure
-    FROM documents d LEFT JOIN p ON d.doc_id = p.doc_id""",
+    """SELECT d.doc_id, lang, source, n_chars,
+      round(CASE WHEN l.doc_id IS NOT NULL THEN n_chars / CAST(25000 AS DOUBLE) END, 9)
+        AS failure_probability,
+      CASE WHEN l.doc_id IS NOT NULL
+        THEN CAST(n_chars / CAST(25000 AS DOUBLE) >= CAST(0.2 AS DOUBLE) AS INTEGER) END AS predicted_failure
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def predictions_joined(spark, sf):
+    """Predictions exist for the reviewed documents; the others keep NULLs."""
     documents = b.read(spark, sf, "documents").drop("text")
-    scored = documents.where("lang <> 'es'").selectExpr("doc_id", "n_chars / 25000D AS probability")
+    reviewed = documents.join(b.read(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    scored = reviewed.selectExpr("doc_id", "n_chars / 25000D AS probability")
     return shown(join_predictions(documents, predict_scored(scored, "doc_id", 0.2), "doc_id"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from faultline.catalog import sql
 from faultline.catalog.sql import shown
 from faultline.operators import importance, models
+from faultline.operators.artifact import file_digests
 from faultline.operators.splits import stratified_split as split_table
 from faultline.plans import workflows
 from faultline.functions.settle import checkpoint_dir
@@ -101,6 +102,15 @@ def batch_prediction(spark, sf):
     return predictions
 
 
+@query("artifact_digest")
+def artifact_digest(spark, sf):
+    """(file, sha256) of a saved model, hashed on the executors."""
+    path = tempfile.mktemp(prefix="model-", dir=checkpoint_dir(spark))
+    model = models.fit_model(models.PRIOR, b.orders_table(spark, sf), b.ORDERS)
+    model.write().overwrite().save(path)
+    return file_digests(spark, path)
+
+
 _SCORE = """(CAST(0.7 AS DOUBLE) * (price / CAST(500000 AS DOUBLE))
     + CAST(0.3 AS DOUBLE) * (CAST((customer * 37) % 100 AS DOUBLE) / CAST(100 AS DOUBLE)))"""
 

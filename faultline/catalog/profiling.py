@@ -344,7 +344,7 @@ def numeric_by_supplier(spark, sf):
     """Any number of groups, by ordered buckets and without a broadcast."""
     return shown(
         profile.numeric_summary(
-            b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey", buckets=16
+            b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey", few_groups=False, buckets=16
         )
     )
 
@@ -511,7 +511,7 @@ def outlier_counts(spark, sf):
 )
 def box_stats(spark, sf):
     return shown(
-        explore.box_stats(b.orders_table(spark, sf), NUMERIC, "at_risk", few_groups=True)
+        explore.box_stats(b.orders_table(spark, sf), NUMERIC, "at_risk")
     )
 
 
@@ -569,5 +569,7 @@ def head(spark, sf):
 def box_stats_by_supplier(spark, sf):
     """Any number of groups: the fences join by salted keys, not by broadcast."""
     return shown(
-        explore.box_stats(b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey")
+        explore.box_stats(
+            b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey", few_groups=False
+        )
     )

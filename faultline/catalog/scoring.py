@@ -410,9 +410,9 @@ def fixed_threshold_metrics(spark, sf):
 @query(
     "final_evaluation_rows",
     f"""WITH {sql.SCORED}, {_curve('s')}, soft AS (SELECT {_RANKING} FROM curve),
-    c AS (SELECT 'default_0_5' AS evaluation, * FROM ({_at('0.5')})
+    c AS (SELECT 'default_0_5' AS operating_point, * FROM ({_at('0.5')})
       UNION ALL SELECT 'selected_balanced_threshold', * FROM ({_at('0.8')})), {_RATED}
-    SELECT evaluation, roc_auc, average_precision, {sql.THRESHOLD_ROW} FROM r, soft""",
+    SELECT operating_point, roc_auc, average_precision, {sql.THRESHOLD_ROW} FROM r, soft""",
 )
 def final_evaluation_fixed(spark, sf):
     return shown(final_evaluation_rows(b.orders_scored(spark, sf), 0.8))

@@ -25,6 +25,7 @@ from faultline.functions.columns import beside, col, match, number, unpivot_nume
 
 ONE_TASK_ROWS = 1_000_000
 MOST_BUCKETS = 16_384
+FEW_GROUPS = 1000
 
 
 def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
@@ -35,6 +36,14 @@ def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
     return 1 if rows <= ONE_TASK_ROWS else max(16, min(2 * rows // ONE_TASK_ROWS, MOST_BUCKETS))
 
 
+def has_few_groups(df: DataFrame, group_by: Sequence[str]) -> bool:
+    """Whether there are so few groups that one row for each can be broadcast."""
+    if not group_by:
+        return True
+    groups = df.select(*[col(g) for g in group_by]).distinct()
+    return groups.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+
+
 def split_points(
     df: DataFrame, columns: Sequence[str], buckets: int
 ) -> list[list[float]]:
@@ -134,7 +143,7 @@ def exact_quantiles(
     features: Sequence[str],
     fractions: Mapping[str, float],
     group_by: Sequence[str] = (),
-    few_groups: bool = False,
+    few_groups: bool | None = None,
     buckets: int | None = None,
     aggregates: Mapping[str, Column] | None = None,
 ) -> DataFrame:
@@ -145,9 +154,9 @@ def exact_quantiles(
 
     Bucket counts, an aggregate of at most ``buckets`` rows per group and feature, show
     which bucket holds each wanted rank. Only the rows of those buckets, a small part of
-    the table, are then counted by value and ranked. ``few_groups`` says that the groups
-    are a small closed set (an outcome, a binary target), which bounds the wanted-ranks
-    table by groups x features x fractions and lets it be broadcast.
+    the table, are then counted by value and ranked. With few groups the wanted-ranks
+    table has at most groups x features x fractions x 2 rows and is broadcast. That is
+    checked unless ``few_groups`` says so of a closed set such as the four outcomes.
     """
     size = bucket_count(df, buckets)
     groups = [col(g) for g in group_by]
@@ -217,8 +226,10 @@ def exact_quantiles(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     exact = [*[col(p) for p in place], "_value"]
-    if not group_by or few_groups:
-        # At most groups x features x 2 fractions rows: few rows survive, then count.
+    if few_groups is None:
+        few_groups = has_few_groups(df, group_by)
+    if few_groups:
+        # Few rows survive the join: join first, then count.
         counts = (
             match(long, F.broadcast(wanted), place)
             .groupBy(*exact)

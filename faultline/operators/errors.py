@@ -91,7 +91,7 @@ def outcome_summary(df: DataFrame, group_by: str | Sequence[str] = ()) -> DataFr
         F.count(F.lit(1)).alias("count"), finite(F.avg("probability")).alias("mean_probability")
     )
     medians = exact_quantiles(
-        df, ["probability"], {"median_probability": 0.5}, keys, few_groups=not groups
+        df, ["probability"], {"median_probability": 0.5}, keys, few_groups=None if groups else True
     ).drop("feature")
     return beside([_every_outcome(df, groups), counts, medians], keys).select(
         *[col(k) for k in keys],
@@ -112,7 +112,7 @@ def numeric_by_outcome(
     every = _every_outcome(df, groups).select(
         *[col(g) for g in groups], "outcome", F.explode(listed).alias("feature")
     )
-    summary = numeric_summary(df, features, [*groups, "outcome"], few_groups=not groups)
+    summary = numeric_summary(df, features, [*groups, "outcome"], few_groups=None if groups else True)
     return beside([every, summary.drop("count", "missing")], keys)
 
 

@@ -21,7 +21,7 @@ from faultline.functions.columns import (
     text,
     unpivot_numeric,
 )
-from faultline.functions.ordering import exact_quantiles
+from faultline.functions.ordering import exact_quantiles, has_few_groups
 from faultline.operators.profile import numeric_summary
 from faultline.spec import DatasetSpec
 
@@ -43,7 +43,7 @@ def describe_numeric(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def numeric_by_target(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Per target class and feature: mean, median, std, min, max."""
     labelled = df.where(col(target).isNotNull())
-    return numeric_summary(labelled, features, target, few_groups=True).select(
+    return numeric_summary(labelled, features, target).select(
         col(target), "feature", "mean", "median", "std", "min", "max"
     )
 
@@ -99,7 +99,7 @@ def range_review(
     df: DataFrame,
     features: Sequence[str],
     group_by: str | Sequence[str] = (),
-    few_groups: bool = False,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """(group..., feature, min, q1, median, q3, max, iqr, lower_fence, upper_fence)."""
     groups = names_of(group_by)
@@ -113,10 +113,12 @@ def range_review(
 
 
 def _with_fences(
-    df: DataFrame, features: Sequence[str], groups: list[str], few_groups: bool
+    df: DataFrame, features: Sequence[str], groups: list[str], few_groups: bool | None
 ) -> DataFrame:
     """(group..., feature, value, _n, quartiles, fences): values, each standing for _n rows."""
     keys = [*groups, "feature"]
+    if few_groups is None:
+        few_groups = has_few_groups(df, groups)
     fences = (
         exact_quantiles(
             df, features, {"q1": 0.25, "median": 0.5, "q3": 0.75}, groups, few_groups
@@ -125,7 +127,7 @@ def _with_fences(
         .withColumn("upper_fence", F.expr(f"q3 + {FENCE} * (q3 - q1)"))
     )
     long = unpivot_numeric(df, features, groups).where("value IS NOT NULL")
-    if not groups or few_groups:  # one row per feature and group of a closed set
+    if few_groups:  # one row per feature and group
         return match(long, F.broadcast(fences), keys).withColumn("_n", F.lit(1).cast("bigint"))
     counted = long.groupBy(*[col(k) for k in keys], "value").agg(F.count(F.lit(1)).alias("_n"))
     return match_spread(counted, fences, keys, "value")
@@ -135,7 +137,7 @@ def outlier_counts(
     df: DataFrame,
     features: Sequence[str],
     group_by: str | Sequence[str] = (),
-    few_groups: bool = False,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """(group..., feature, outliers): values beyond the fences."""
     groups = names_of(group_by)
@@ -150,7 +152,7 @@ def box_stats(
     df: DataFrame,
     features: Sequence[str],
     group_by: str | Sequence[str] = (),
-    few_groups: bool = False,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """Quartiles, whiskers (last values inside the fences) and outlier count."""
     groups = names_of(group_by)

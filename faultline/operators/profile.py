@@ -141,7 +141,7 @@ def numeric_summary(
     df: DataFrame,
     features: Sequence[str],
     group_by: str | Sequence[str] = (),
-    few_groups: bool = False,
+    few_groups: bool | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """(group..., feature, count, missing, mean, std, min, q1, median, q3, max).

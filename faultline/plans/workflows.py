@@ -21,6 +21,7 @@ from faultline.operators.models import BOOSTING, COMPARISON_MODELS
 from faultline.operators.scoring import predict
 from faultline.operators.splits import development_set, split_class_counts, stratified_split
 from faultline.functions.settle import settle
+from faultline.plans.sinks import COMPARISON_COLUMNS
 from faultline.sources.tables import load_prediction_input
 from faultline.spec import (
     FALSE_NEGATIVE_COST,
@@ -83,7 +84,9 @@ def model_comparison(
         [(name, took) for name, (_, took) in fitted.items()],
         "model string, training_seconds double",
     )
-    return beside([evaluate_models(scored, "model"), seconds], ["model"])
+    return beside([evaluate_models(scored, "model"), seconds], ["model"]).select(
+        *COMPARISON_COLUMNS
+    )
 
 
 def baseline_training(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -245,17 +248,15 @@ def _development(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame
 
 
 def final_evaluation_rows(scored: DataFrame, threshold: float) -> DataFrame:
-    """(evaluation, metrics at 0.5 and at the chosen threshold, AUC and AP), two rows."""
+    """The metrics at 0.5 and at the chosen threshold beside AUC and AP, two rows."""
     ranking = ranking_metrics(scored).select(F.struct("*").alias("r")).scalar()
     rows = [
-        fixed_threshold_metrics(scored, t).withColumn("evaluation", F.lit(name))
+        fixed_threshold_metrics(scored, t).withColumn("operating_point", F.lit(name))
         for name, t in (("default_0_5", 0.5), ("selected_balanced_threshold", threshold))
     ]
     return rows[0].unionByName(rows[1]).withColumn("_r", ranking).select(
-        "evaluation",
+        "operating_point",
         "threshold",
-        F.col("_r.roc_auc").alias("roc_auc"),
-        F.col("_r.average_precision").alias("average_precision"),
         "accuracy",
         "precision",
         "recall",
@@ -266,6 +267,8 @@ def final_evaluation_rows(scored: DataFrame, threshold: float) -> DataFrame:
         "true_positive",
         "predicted_positive_count",
         "predicted_positive_rate",
+        F.col("_r.roc_auc").alias("roc_auc"),
+        F.col("_r.average_precision").alias("average_precision"),
     )
 
 

@@ -108,7 +108,7 @@ def interpolate(values, p):
 
 
 @pytest.mark.parametrize("buckets", [None, 2, 5, 64])
-@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("few", [None, True, False])
 def test_exact_quantiles_with_hot_values_and_groups(spark, buckets, few):
     rng = random.Random(11)
     rows = []

@@ -4,7 +4,7 @@ import pytest
 from tables import SPEC, THREE, machine_table, rows_of
 
 from faultline.functions.columns import col
-from faultline.plans.sinks import write_report, write_rows
+from faultline.plans.sinks import write_predictions_csv, write_report, write_rows, write_workflow
 from faultline.sources.tables import load_prediction_input, load_table, read_csv
 
 HEADER = ",".join(SPEC.required)
@@ -97,3 +97,19 @@ def test_reports_are_strict_and_ordered(spark, tmp_path):
 def test_csv_and_spec_agree(spark, tmp_path):
     df = read_csv(spark, csv(tmp_path, HEADER, *LINES), SPEC, ("Type", "UDI"))
     assert df.columns == ["Type", "UDI"]
+
+
+def test_workflow_reports_keep_names_and_columns(spark, tmp_path):
+    cases = spark.createDataFrame(
+        [("a", 0.5, "false_positive", 0.7, 1)], "selection string, threshold double, outcome string, probability double, k int"
+    )
+    ranks = spark.createDataFrame([(1, "x", 0.5, 0.1)], "rank int, feature string, importance_mean double, importance_std double")
+    paths = write_workflow({"error_cases": cases, "feature_importance": ranks.select(*reversed(ranks.columns))}, str(tmp_path))
+    back = spark.read.option("header", True).csv(paths["feature_importance"]["csv"])
+    assert back.columns == ["rank", "feature", "importance_mean", "importance_std"]
+    assert (tmp_path / "error_analysis/error_cases/selection=a/outcome=false_positive").is_dir()
+    predictions = spark.createDataFrame([(7, 0.5, 1)], "UDI bigint, failure_probability double, predicted_failure int")
+    out = write_predictions_csv(predictions, "UDI", str(tmp_path / "p"))
+    assert spark.read.option("header", True).csv(out).columns[0] == "input_index"
+    with pytest.raises(ValueError):
+        write_predictions_csv(predictions.drop("UDI"), "UDI", str(tmp_path / "q"))

@@ -168,7 +168,7 @@ def test_importance_of_a_constant_score_is_zero(spark, table):
 
 def test_final_evaluation(table):
     reports = workflows.final_evaluation(table, SPEC, models.BOOSTING, QUICK)
-    rows = {r["evaluation"]: r for r in reports["final_evaluation"].collect()}
+    rows = {r["operating_point"]: r for r in reports["final_evaluation"].collect()}
     assert set(rows) == {"default_0_5", "selected_balanced_threshold"}
     assert rows["default_0_5"]["true_negative"] + rows["default_0_5"]["false_positive"] == 16
     assert rows["default_0_5"]["roc_auc"] == rows["selected_balanced_threshold"]["roc_auc"]
@@ -177,7 +177,7 @@ def test_final_evaluation(table):
 
 
 def test_final_rows_of_the_fixed_case(spark):
-    rows = {r["evaluation"]: r for r in workflows.final_evaluation_rows(scored(spark, [0, 1], [0.4, 0.7]), 0.8).collect()}
+    rows = {r["operating_point"]: r for r in workflows.final_evaluation_rows(scored(spark, [0, 1], [0.4, 0.7]), 0.8).collect()}
     low, high = rows["default_0_5"], rows["selected_balanced_threshold"]
     assert low["roc_auc"] == low["average_precision"] == low["accuracy"] == low["f1"] == 1.0
     assert (high["true_negative"], high["false_negative"], high["precision"], high["recall"], high["f1"], high["accuracy"]) == (1, 1, 0.0, 0.0, 0.0, 0.5)
