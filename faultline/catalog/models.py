@@ -6,7 +6,7 @@ queries stays short; the rows are never cut.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Mapping
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -94,7 +94,7 @@ def feature_importance(spark, sf):
 @query("batch_prediction")
 def batch_prediction(spark, sf):
     """Build, save, check, load and apply an artifact to all orders."""
-    path = tempfile.mktemp(prefix="artifact-", dir=checkpoint_dir(spark))
+    path = f"{checkpoint_dir(spark)}/artifact-{uuid.uuid4().hex}"
     table = b.orders_table(spark, sf)
     workflows.build_artifact(table, b.ORDERS, path, SMALL)
     rows = table.select(b.ORDERS.key, *b.ORDERS.features)
@@ -105,7 +105,7 @@ def batch_prediction(spark, sf):
 @query("artifact_digest")
 def artifact_digest(spark, sf):
     """(file, sha256) of a saved model, hashed on the executors."""
-    path = tempfile.mktemp(prefix="model-", dir=checkpoint_dir(spark))
+    path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
     model = models.fit_model(models.PRIOR, b.orders_table(spark, sf), b.ORDERS)
     model.write().overwrite().save(path)
     return file_digests(spark, path)

@@ -39,9 +39,8 @@ def _rows(columns, rows):
 KINDS = {"long": "BIGINT", "integer": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
-def compare(spark, db, run, sql, sf_dir):
+def compare(df, db, sql):
     """None when equal, else what differs."""
-    df = run(spark, sf_dir)
     got = df.collect()
     relation = db.sql(sql)
     wanted = relation.fetchall()
@@ -78,7 +77,7 @@ def main():
         start = time.time()
         try:
             if name in oracles:
-                problem = compare(spark, db, run, oracles[name], sf_dir)
+                problem = compare(run(spark, sf_dir), db, oracles[name])
             else:
                 rows = run(spark, sf_dir).count()
                 problem = None if rows else "no rows"

@@ -14,7 +14,7 @@ def make_session():
         SparkSession.builder.master("local[8]")
         .appName("faultline-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         # No Python call site is kept per column: building a query is several times faster.
