@@ -4,25 +4,28 @@ Rows are dealt by a hash of their key into blocks of bounded expected size. Insi
 block, each (feature, repeat) orders the rows by its own hash, and every row takes the
 feature value of the next row, the last one that of the first: a random cyclic
 permutation. All (feature, repeat) windows share the block partitioning, so the rows are
-shuffled once, not once per feature and repeat.
+shuffled once, not once per feature and repeat. Blocks are drawn by hash, so permuting
+inside them is as random as the draw, and their size bounds what one sort holds.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.arguments import at_least_one
-from faultline.functions.columns import col
+from faultline.functions.columns import col, quoted
+from faultline.functions.columns import text as literal
 from faultline.functions.settle import settle
 from faultline.operators.metrics import average_precision
 from faultline.spec import SEED
 
 REPEATS = 10
-BLOCK_ROWS = 200_000
+BLOCK_ROWS = 5_000
 
 
 def permuted_copies(
@@ -48,35 +51,36 @@ def permuted_copies(
         *[col(f) for f in features],
         block.alias("_block"),
     )
-    shuffled = {}
-    for i, feature in enumerate(features):
-        for r in range(1, repeats + 1):
-            order = F.md5(F.concat_ws(":", text, F.lit(feature), F.lit(f"{seed}"), F.lit(f"{r}")))
-            ring = Window.partitionBy("_block").orderBy(order, col(key))
-            following = F.lead(F.struct(col(feature).alias("v"))).over(ring)
-            # The first row of the ring, seen from every row.
-            first = F.first(F.struct(col(feature).alias("v"))).over(
-                ring.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            shuffled[f"_p{i}_{r}"] = F.coalesce(following, first).getField("v")
-    wide = base.select("*", *[v.alias(n) for n, v in shuffled.items()])
-
-    def copy(feature, r, swapped=None):
-        return F.struct(
-            F.lit(feature).cast("string").alias("feature"),
-            F.lit(r).alias("repeat"),
-            *[
-                (F.col(swapped) if f == feature else col(f)).alias(f)
-                for f in features
-            ],
+
+    def successor(feature: str, r: int):
+        """The feature of the next row in the block's random order of (feature, repeat)."""
+        order = F.md5(F.concat_ws(":", text, F.lit(feature), F.lit(f"{seed}"), F.lit(f"{r}")))
+        ring = Window.partitionBy("_block").orderBy(order, col(key))
+        following = F.lead(F.struct(col(feature).alias("v"))).over(ring)
+        # The first row of the ring, seen from every row.
+        first = F.first(F.struct(col(feature).alias("v"))).over(
+            ring.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        return F.coalesce(following, first).getField("v")
+
+    def copy(feature: str | None, r: int, swapped: str | None = None) -> str:
+        name = "CAST(NULL AS STRING)" if feature is None else literal(feature)
+        cells = ", ".join(
+            f"{literal(f)}, {swapped if f == feature else quoted(f)}" for f in features
         )
+        return f"named_struct('feature', {name}, 'repeat', {r}, {cells})"
 
-    copies = [copy(None, 0)] + [
-        copy(feature, r, f"_p{i}_{r}")
-        for i, feature in enumerate(features)
-        for r in range(1, repeats + 1)
-    ]
-    return wide.select(col(key), *[col(k) for k in keep], F.inline(F.array(*copies)))
+    # One branch per repeat keeps the rows narrow; all branches read the same exchange.
+    branches = []
+    for r in range(1, repeats + 1):
+        wide = base.select(
+            "*", *[successor(f, r).alias(f"_p{i}") for i, f in enumerate(features)]
+        )
+        copies = [copy(None, 0)] if r == 1 else []
+        copies += [copy(f, r, f"_p{i}") for i, f in enumerate(features)]
+        exploded = F.expr(f"inline(array({', '.join(copies)}))")
+        branches.append(wide.select(col(key), *[col(k) for k in keep], exploded))
+    return reduce(DataFrame.unionAll, branches)
 
 
 def permutation_importance(
