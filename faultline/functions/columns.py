@@ -31,6 +31,23 @@ def number(name: str) -> Column:
     return F.nanvl(col(name).cast("double"), F.lit(None).cast("double"))
 
 
+def checked_score(name: str) -> Column:
+    """The probability as a double; a row whose score is missing or outside 0..1 is an error.
+
+    The check is part of the expression, so it costs no pass over the rows.
+    """
+    p = f"CAST({quoted(name)} AS DOUBLE)"
+    refused = text(f"{name} has to be a probability between 0 and 1")
+    return F.expr(f"CASE WHEN {p} >= 0 AND {p} <= 1 THEN {p} ELSE CAST(raise_error({refused}) AS DOUBLE) END")
+
+
+def checked_label(name: str) -> Column:
+    """The label as an int; a row whose label is neither 0 nor 1 is an error."""
+    y = f"CAST({quoted(name)} AS DOUBLE)"
+    refused = text(f"{name} has to be 0 or 1")
+    return F.expr(f"CASE WHEN {y} IN (0, 1) THEN CAST({y} AS INT) ELSE CAST(raise_error({refused}) AS INT) END")
+
+
 def finite(value: Column) -> Column:
     """The value, or NULL where it is infinite or not a number."""
     return F.when(F.abs(value) < F.lit(float("inf")), value)
@@ -113,6 +130,11 @@ def beside(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
 def unpivot_numeric(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()):
     """Long form (keep..., feature, value), missing values included."""
+    if not features:
+        empty = df.select(
+            *[col(k) for k in keep], F.lit("").alias("feature"), F.lit(0.0).alias("value")
+        )
+        return empty.where("false")
     cells = ", ".join(
         f"named_struct('feature', {text(f)}, 'value', nanvl(double({quoted(f)}), NULL))"
         for f in features

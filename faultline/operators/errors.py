@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from faultline.functions.arguments import at_least_one, threshold_value
 from faultline.functions.columns import (
     beside,
+    checked_label,
+    checked_score,
     col,
     finite,
     level,
     match,
+    match_spread,
     names_of,
     number,
     percent,
 )
 from faultline.functions.ordering import exact_quantiles
-from faultline.operators.checks import alignment_check
 from faultline.operators.metrics import at_threshold
 from faultline.operators.profile import numeric_summary
 from faultline.spec import OUTCOMES
@@ -44,30 +46,44 @@ def outcome_of(actual: Column, predicted: Column) -> Column:
 def classify_outcomes(
     df: DataFrame, threshold: float, label: str = "label", probability: str = "probability"
 ) -> DataFrame:
-    """Add actual, predicted and outcome; a row-local projection."""
+    """Add actual, predicted and outcome; a row-local projection.
+
+    A missing score, one outside 0..1, and a label other than 0 and 1 are errors.
+    """
     predicted = at_threshold(threshold, probability)
+    actual = checked_label(label)
     return df.withColumns(
         {
-            "actual": col(label).cast("int"),
+            "actual": actual,
             "predicted": predicted,
-            "outcome": outcome_of(col(label).cast("int"), predicted),
+            "outcome": outcome_of(actual, predicted),
         }
     )
 
 
-def error_table(
-    features: DataFrame, scores: DataFrame, key: str, threshold: float, check: bool = False
-) -> DataFrame:
-    """Features beside outcome by key. ``check`` raises when keys do not line up 1:1."""
+def error_table(features: DataFrame, scores: DataFrame, key: str, threshold: float) -> DataFrame:
+    """Features beside outcome by key; keys that do not line up 1:1 are an error.
+
+    The check belongs to the rows of the join: each side counts its keys in the
+    partitions that the join needs anyway, so there is no second pass.
+    """
     threshold_value(threshold)
-    if check:
-        found = alignment_check(features, scores, key).first()
-        if found["features_only"] or found["scores_only"] or found["repeated"]:
-            raise ValueError(f"features and scores do not line up: {found.asDict()}")
+    same_key = Window.partitionBy(col(key))
     judged = classify_outcomes(scores, threshold).select(
         col(key), "actual", "predicted", "probability", "outcome"
     )
-    return features.join(judged, key)
+    left = features.withColumn("_features", F.count(F.lit(1)).over(same_key))
+    right = judged.withColumn("_scores", F.count(F.lit(1)).over(same_key))
+    joined = left.join(right, key, "full")
+    once = (F.col("_features") == 1) & (F.col("_scores") == 1)
+    refused = F.raise_error(F.lit(f"features and scores do not line up by {key}"))
+    checked = [
+        F.when(once, col(c)).otherwise(refused.cast(joined.schema[c].dataType)).alias(c)
+        for c in (key, "outcome")
+    ]
+    kept = [c for c in joined.columns if c not in (key, "outcome", "_features", "_scores")]
+    order = [c for c in joined.columns if c not in ("_features", "_scores")]
+    return joined.select(*checked, *[col(c) for c in kept]).select(*[col(c) for c in order])
 
 
 def _every_outcome(df: DataFrame, groups: list[str]) -> DataFrame:
@@ -129,7 +145,11 @@ def category_by_outcome(
         .agg(F.count(F.lit(1)).alias("count"))
     )
     totals = counts.groupBy(*[col(k) for k in keys]).agg(F.sum("count").alias("_total"))
-    return match(counts, totals, keys).select(
+    if groups:  # a column of many values is a hot key
+        joined = match_spread(counts, totals, keys, "value")
+    else:  # one total per outcome and listed column
+        joined = match(counts, F.broadcast(totals), keys)
+    return joined.select(
         *[col(k) for k in keys],
         "value",
         "count",
@@ -261,7 +281,7 @@ def error_cases(
     The few thresholds are an array literal: each row yields only the thresholds at
     which it is wrong, in one pass without a join. Two names may share a threshold.
     """
-    p, y = number(probability), number(label).cast("int")
+    p, y = checked_score(probability), checked_label(label)
     steps = F.array(
         *[
             F.struct(F.lit(name).alias("selection"), F.lit(threshold_value(t)).alias("threshold"))

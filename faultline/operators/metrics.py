@@ -12,7 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.arguments import threshold_list, threshold_value
-from faultline.functions.columns import beside, col, count_where, names_of, number, ratio
+from faultline.functions.columns import (
+    beside,
+    checked_label,
+    checked_score,
+    col,
+    count_where,
+    names_of,
+    ratio,
+)
 from faultline.functions.ordering import running_totals
 from faultline.spec import THRESHOLDS
 
@@ -21,24 +29,34 @@ COUNTS = ("true_negative", "false_positive", "false_negative", "true_positive")
 
 def majority_vote(probability: str = "probability") -> Column:
     """The class a classifier predicts: 1 above one half, 0 at exactly one half."""
-    return (col(probability) > 0.5).cast("int")
+    return (checked_score(probability) > 0.5).cast("int")
 
 
 def at_threshold(threshold: float, probability: str = "probability") -> Column:
     """The class at an operating threshold: 1 from the threshold upwards."""
-    return (col(probability) >= F.lit(threshold_value(threshold))).cast("int")
+    return (checked_score(probability) >= F.lit(threshold_value(threshold))).cast("int")
 
 
 def confusion_matrix(
     df: DataFrame, predicted: Column, label: str = "label", group_by: str | Sequence[str] = ()
 ) -> DataFrame:
-    """(group..., true_negative, false_positive, false_negative, true_positive)."""
-    y = number(label)
-    return df.groupBy(*[col(g) for g in names_of(group_by)]).agg(
-        count_where((y == 0) & (predicted == 0)).alias("true_negative"),
-        count_where((y == 0) & (predicted == 1)).alias("false_positive"),
-        count_where((y == 1) & (predicted == 0)).alias("false_negative"),
-        count_where((y == 1) & (predicted == 1)).alias("true_positive"),
+    """(group..., true_negative, false_positive, false_negative, true_positive).
+
+    Labels and predictions other than 0 and 1 are an error.
+    """
+    keys = [col(g) for g in names_of(group_by)]
+    y, predicted_class = F.col("_y"), F.col("_predicted")
+    refused = F.raise_error("predictions have to be 0 or 1").cast("int")
+    judged = df.select(
+        *keys,
+        checked_label(label).alias("_y"),
+        F.when(predicted.isin(0, 1), predicted.cast("int")).otherwise(refused).alias("_predicted"),
+    )
+    return judged.groupBy(*keys).agg(
+        count_where((y == 0) & (predicted_class == 0)).alias("true_negative"),
+        count_where((y == 0) & (predicted_class == 1)).alias("false_positive"),
+        count_where((y == 1) & (predicted_class == 0)).alias("false_negative"),
+        count_where((y == 1) & (predicted_class == 1)).alias("true_positive"),
     )
 
 
@@ -84,11 +102,37 @@ def score_curve(
 ) -> DataFrame:
     """Per distinct score, from high to low: positives and negatives at and above it."""
     groups = names_of(group_by)
-    y = number(label).cast("bigint")
+    checked = df.select(
+        *[col(g) for g in groups],
+        checked_score(probability).alias(probability),
+        checked_label(label).cast("bigint").alias("_positive"),
+    )
+    measures = {"positives": F.col("_positive"), "negatives": F.lit(1) - F.col("_positive")}
+    return _curve(checked, measures, probability, groups, buckets)
+
+
+def counted_scores(
+    df: DataFrame, label: str, probability: str, group_by: str | Sequence[str] = ()
+) -> DataFrame:
+    """(group..., probability, positives, negatives): one row per distinct score."""
+    return (
+        df.select(
+            *[col(g) for g in names_of(group_by)],
+            checked_score(probability).alias("probability"),
+            checked_label(label).cast("bigint").alias("_y"),
+        )
+        .groupBy(*[col(g) for g in names_of(group_by)], "probability")
+        .agg(F.sum("_y").alias("positives"), F.sum(1 - F.col("_y")).alias("negatives"))
+    )
+
+
+def _curve(
+    df: DataFrame, measures: dict[str, Column], probability: str, groups: list[str], buckets: int | None
+) -> DataFrame:
     return running_totals(
         df,
         probability,
-        {"positives": y, "negatives": F.lit(1) - y},
+        measures,
         groups,
         descending=True,
         buckets=buckets,
@@ -141,7 +185,19 @@ def ranking_metrics(df: DataFrame, group_by: str | Sequence[str] = (), **options
     without interpolation.
     """
     groups = names_of(group_by)
-    curve = score_curve(df, group_by=groups, **options)
+    return _ranked(score_curve(df, group_by=groups, **options), groups)
+
+
+def ranking_of_counts(
+    counts: DataFrame, group_by: str | Sequence[str] = (), buckets: int | None = None
+) -> DataFrame:
+    """``ranking_metrics`` from rows of ``counted_scores``."""
+    groups = names_of(group_by)
+    measures = {"positives": F.col("positives"), "negatives": F.col("negatives")}
+    return _ranked(_curve(counts, measures, "probability", groups, buckets), groups)
+
+
+def _ranked(curve: DataFrame, groups: list[str]) -> DataFrame:
     p, n = F.col("positives").cast("double"), F.col("negatives").cast("double")
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     both = (F.sum(p) > 0) & (F.sum(n) > 0)
@@ -200,7 +256,11 @@ def threshold_sweep(
     )
     keys = [col(g) for g in groups]
     binned = (
-        df.select(*keys, number(probability).alias("_p"), number(label).cast("bigint").alias("_y"))
+        df.select(
+            *keys,
+            checked_score(probability).alias("_p"),
+            checked_label(label).cast("bigint").alias("_y"),
+        )
         .groupBy(*keys, F.expr(reached).alias("_bin"))
         .agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_pos"))
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from tables import SPEC, one, rows_of, scored
 
@@ -22,7 +23,7 @@ def four(spark):
 
 def table(spark, probabilities, threshold=0.5):
     scores = scored(spark, LABELS, probabilities).select((F.col("key") + 10).alias("UDI"), "label", "probability")
-    return errors.error_table(four(spark), scores, "UDI", threshold, check=True)
+    return errors.error_table(four(spark), scores, "UDI", threshold)
 
 
 def test_outcomes(spark):
@@ -127,8 +128,8 @@ def test_error_focus(spark):
 def test_misaligned_or_repeated_keys_are_errors(spark):
     features = four(spark)
     scores = scored(spark, LABELS, [0.1] * 4).select((F.col("key") + 11).alias("UDI"), "label", "probability")
-    with pytest.raises(ValueError):
-        errors.error_table(features, scores, "UDI", 0.5, check=True)
+    with pytest.raises(PySparkException, match="line up"):
+        errors.error_table(features, scores, "UDI", 0.5).collect()
     same = scores.withColumn("UDI", F.col("UDI") - 1)
-    with pytest.raises(ValueError):
-        errors.error_table(features, same.unionByName(same), "UDI", 0.5, check=True)
+    with pytest.raises(PySparkException, match="line up"):
+        errors.error_table(features, same.unionByName(same), "UDI", 0.5).collect()
