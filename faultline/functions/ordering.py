@@ -1,12 +1,11 @@
 """Exact ranks, running totals and quantiles without one task seeing a whole group.
 
 A plain ``Window.orderBy(score)`` or an exact ``percentile`` brings a whole group into
-one task. That is fine for a counted, small table (ONE_TASK_ROWS) and only there. Beyond
-it every value first gets an ordered bucket. The bucket bounds come from an approximate
-quantile sketch, so a bucket holds about 1/buckets of all rows however the values or the
+one task. Here every value first gets an ordered bucket. The bucket bounds come from an
+approximate quantile sketch, so a bucket holds about BUCKET_ROWS rows however the values or the
 groups are skewed; equal values are added up before the shuffle, so a value shared by a
-third of all rows is one row per task. The bounds steer the balance only: the results are
-exact for any bounds.
+third of all rows is one row per task. The number of buckets follows the number of rows, a
+small table has one; the way and the results are the same for any number and any bounds.
 
 The rows are counted first, so the input is read more than once: settle it when it is
 expensive to compute.
@@ -23,17 +22,17 @@ from pyspark.sql import functions as F
 
 from faultline.functions.columns import beside, col, match, number, unpivot_numeric
 
-ONE_TASK_ROWS = 1_000_000
+BUCKET_ROWS = 500_000
+# Bounds that the driver holds at most; beyond some 8 * 10^9 rows a bucket grows.
 MOST_BUCKETS = 16_384
 FEW_GROUPS = 1000
 
 
 def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
-    """1 for a table one task can hold, else about ONE_TASK_ROWS rows to a bucket."""
-    if buckets is not None:
-        return max(1, min(buckets, MOST_BUCKETS))
-    rows = df.count()
-    return 1 if rows <= ONE_TASK_ROWS else max(16, min(2 * rows // ONE_TASK_ROWS, MOST_BUCKETS))
+    """About BUCKET_ROWS rows to a bucket, unless the caller wants another number."""
+    if buckets is None:
+        buckets = -(-df.count() // BUCKET_ROWS)
+    return max(1, min(buckets, MOST_BUCKETS))
 
 
 def has_few_groups(df: DataFrame, group_by: Sequence[str]) -> bool:
@@ -54,14 +53,20 @@ def split_points(
 
 
 def add_buckets(df: DataFrame, columns: Mapping[str, str], buckets: int) -> DataFrame:
-    """Add an ordered bucket column (value column -> bucket column)."""
+    """Add an ordered bucket column (value column -> bucket column); missing values have none."""
+    if buckets == 1:
+        only = {b: F.when(col(v).isNotNull(), F.lit(0.0)) for v, b in columns.items()}
+        return df.withColumns(only)
     points = split_points(df, list(columns), buckets)
-    return Bucketizer(
+    placed = Bucketizer(
         inputCols=list(columns),
         outputCols=list(columns.values()),
         splitsArray=[[-math.inf, *one, math.inf] for one in points],
         handleInvalid="keep",
     ).transform(df)
+    return placed.withColumns(
+        {b: F.when(col(v).isNotNull(), col(b)) for v, b in columns.items()}
+    )
 
 
 def running_totals(
@@ -106,10 +111,6 @@ def running_totals(
         )
 
     whole = Window.partitionBy(*groups)
-    if size == 1:
-        totals = {f"{name}_total": F.sum(col(name)).over(whole) for name in measures}
-        return finish(plain.groupBy(*groups, "_value").agg(*sums), groups, totals)
-
     placed = add_buckets(plain, {"_value": "_bucket"}, size)
     by_value = placed.groupBy(*groups, "_bucket", "_value").agg(*sums)
     by_bucket = by_value.groupBy(*groups, "_bucket").agg(*sums)
@@ -161,23 +162,13 @@ def exact_quantiles(
     size = bucket_count(df, buckets)
     groups = [col(g) for g in group_by]
     keys = [*group_by, "feature"]
-    others = [value.alias(name) for name, value in (aggregates or {}).items()]
-    if size == 1:
-        return (
-            unpivot_numeric(df, features, group_by)
-            .groupBy(*groups, "feature")
-            .agg(
-                *others,
-                F.percentile("value", list(fractions.values())).alias("_q"),
-            )
-            .select(
-                *groups,
-                "feature",
-                *(aggregates or {}),
-                *[F.col("_q")[i].alias(name) for i, name in enumerate(fractions)],
-            )
+    if not features:
+        kinds = dict.fromkeys((*(aggregates or {}), *fractions), "double")
+        empty = unpivot_numeric(df, features, group_by).drop("value")
+        return empty.select(
+            "*", *[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]
         )
-
+    others = [value.alias(name) for name, value in (aggregates or {}).items()]
     values = {f"_v{i}": f"_b{i}" for i in range(len(features))}
     wide = df.select(
         *groups, *[number(f).alias(f"_v{i}") for i, f in enumerate(features)]
@@ -191,15 +182,15 @@ def exact_quantiles(
         )
         for i, f in enumerate(features)
     ]
-    long = wide.select(*groups, F.inline(F.array(*cells))).where(
-        F.col("_value").isNotNull()
-    )
+    everything = wide.select(*groups, F.inline(F.array(*cells)))
+    long = everything.where(F.col("_value").isNotNull())
 
     per_feature = Window.partitionBy(*groups, "feature")
     earlier = per_feature.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # Missing values are a bucket of their own: a group without a value keeps its row.
+    sizes = everything.groupBy(*groups, "feature", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     counted = (
-        long.groupBy(*groups, "feature", "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        sizes.where(F.col("_bucket").isNotNull())
         .withColumn("_total", F.sum("_n").over(per_feature))
         .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     )
@@ -261,7 +252,8 @@ def exact_quantiles(
         .withColumn(
             "_q",
             F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(
-                F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_at") - F.floor("_at"))
+                (F.ceil("_at") - F.col("_at")) * F.col("_a")
+                + (F.col("_at") - F.floor("_at")) * F.col("_b")
             ),
         )
     )
@@ -272,6 +264,7 @@ def exact_quantiles(
         ]
     )
     if not others:
-        return quantiles
+        every = sizes.groupBy(*groups, "feature").agg(F.sum("_n").alias("_rows"))
+        return beside([every, quantiles], keys).drop("_rows")
     rest = unpivot_numeric(df, features, group_by).groupBy(*groups, "feature").agg(*others)
     return beside([rest, quantiles], keys)

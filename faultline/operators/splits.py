@@ -19,7 +19,9 @@ from faultline.functions.columns import col
 from faultline.operators.checks import require_stratifiable
 from faultline.spec import SEED, TEST_FRACTION, VALIDATION_FRACTION
 
-
+# Hex digits by which a cut is narrowed at a time, digits of the hash, rows of one sort.
+DIGITS, HASH_DIGITS = 2, 32
+SORTED_ROWS = 100_000
 
 def row_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", col(key).cast("string"), F.lit(str(seed))))
@@ -79,20 +81,24 @@ def fit_split(
     validation_fraction: float = VALIDATION_FRACTION,
 ) -> SplitPlan:
     """Find the cuts. Keys must be unique; the target must hold 0 and 1 only."""
-    rows = require_stratifiable(df, target)
-    # Leading hex digits of the hash: 256 to 65 536 even buckets per class.
-    digits = 2 if rows < 1_000_000 else 3 if rows < 1_000_000_000 else 4
+    require_stratifiable(df, target)
     hashed = df.select(
         col(target).cast("int").alias("_label"),
         col(key).alias("_key"),
         row_hash(key, seed).alias("_hash"),
-    ).withColumn("_bucket", F.substring("_hash", 1, digits))
+    )
 
-    # At most 2 x 16^digits small rows, whatever the table holds.
-    counted = hashed.groupBy("_label", "_bucket").count().collect()
-    buckets: dict[int, list[tuple[str, int]]] = {}
-    for row in counted:
-        buckets.setdefault(row["_label"], []).append((row["_bucket"], row["count"]))
+    def sizes(rows: DataFrame, digits: int) -> dict[int, list[tuple[str, int]]]:
+        """Rows per label and leading hex digits of the hash, in order."""
+        held: dict[int, list[tuple[str, int]]] = {}
+        prefix = F.substring("_hash", 1, digits).alias("_prefix")
+        for row in rows.groupBy("_label", prefix).count().collect():
+            held.setdefault(row["_label"], []).append((row["_prefix"], row["count"]))
+        return {label: sorted(one) for label, one in held.items()}
+
+    # At most 2 x 256 small rows, whatever the table holds.
+    digits = DIGITS
+    buckets = sizes(hashed, digits)
     totals = {label: sum(n for _, n in held) for label, held in buckets.items()}
     size = sum(totals.values())
     n_test = math.ceil(test_fraction * size)
@@ -100,33 +106,49 @@ def fit_split(
     rest = {label: totals[label] - test[label] for label in totals}
     validation = class_shares(rest, math.ceil(validation_fraction * (size - n_test)))
 
-    wanted = []  # (label, bucket, rank in bucket, cut number)
-    for label, held in buckets.items():
-        for number, rank in enumerate((test[label], test[label] + validation[label])):
-            before = 0
-            for bucket, n in sorted(held):
-                if before < rank <= before + n:
-                    wanted.append((label, bucket, rank - before, number))
-                before += n
+    # (label, cut number) -> (prefix, rank inside it): at most four cuts, each narrowed by two
+    # more digits until its bucket is a small sort.
+    cutting = {
+        (label, number): ("", rank)
+        for label in buckets
+        for number, rank in enumerate((test[label], test[label] + validation[label]))
+        if rank > 0
+    }
+    inside = hashed
+    while True:
+        largest = 0
+        for (label, number), (prefix, rank) in cutting.items():
+            for bucket, n in buckets[label]:
+                if bucket.startswith(prefix):
+                    if rank <= n:
+                        cutting[label, number] = (bucket, rank)
+                        largest = max(largest, n)
+                        break
+                    rank -= n
+        here = F.lit(False)
+        for label, prefix in {(label, prefix) for (label, _), (prefix, _) in cutting.items()}:
+            here = here | ((F.col("_label") == label) & F.col("_hash").startswith(prefix))
+        inside = hashed.where(here)
+        if largest <= SORTED_ROWS or digits >= HASH_DIGITS:
+            break
+        digits += DIGITS
+        buckets = sizes(inside, digits)
 
     found: dict[tuple[int, int], tuple[str, object]] = {}
-    if wanted:
-        here = F.lit(False)
-        for label, bucket in {(w[0], w[1]) for w in wanted}:
-            here = here | ((F.col("_label") == label) & (F.col("_bucket") == bucket))
-        inside = Window.partitionBy("_label", "_bucket").orderBy("_hash", "_key")
-        ranked = hashed.where(here).withColumn("_rank", F.row_number().over(inside))
+    if cutting:
+        prefix = F.substring("_hash", 1, digits)
+        place = Window.partitionBy("_label", "_prefix").orderBy("_hash", "_key")
+        ranked = inside.withColumn("_prefix", prefix).withColumn("_rank", F.row_number().over(place))
         hit = F.lit(False)
-        for label, bucket, rank, _ in wanted:
+        for (label, _), (prefix, rank) in cutting.items():
             hit = hit | (
-                (F.col("_label") == label) & (F.col("_bucket") == bucket) & (F.col("_rank") == rank)
+                (F.col("_label") == label) & (F.col("_prefix") == prefix) & (F.col("_rank") == rank)
             )
         rows = {
-            (r["_label"], r["_bucket"], r["_rank"]): (r["_hash"], r["_key"])
+            (r["_label"], r["_prefix"], r["_rank"]): (r["_hash"], r["_key"])
             for r in ranked.where(hit).collect()  # at most four rows
         }
-        for label, bucket, rank, number in wanted:
-            found[label, number] = rows[label, bucket, rank]
+        found = {cut: rows[cut[0], prefix, rank] for cut, (prefix, rank) in cutting.items()}
     cuts = {label: (found.get((label, 0)), found.get((label, 1))) for label in totals}
     return SplitPlan(key, target, seed, cuts)
 
