@@ -23,7 +23,8 @@ def query(name, oracle=None):
 
 
 THRESHOLD = 0.7
-FEATURES = ("o_totalprice", "line_count", "quantity_sum", "discount_mean")
+FEATURES = b.ORDERS.numeric
+CATEGORIES = b.ORDERS.categorical
 
 _JUDGED = f"""{sql.SCORED},
   j AS (SELECT *, label AS actual, CAST(probability >= CAST({THRESHOLD} AS DOUBLE) AS INTEGER) AS predicted FROM s),
@@ -62,8 +63,9 @@ def classify_outcomes(spark, sf):
 
 @query(
     "error_table",
-    f"WITH {_TABLE} SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, line_count, quantity_sum,"
-    " round(discount_mean, 6) AS discount_mean, actual, predicted, round(probability, 9) AS probability,"
+    f"WITH {_TABLE} SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, order_month, order_weekday,"
+    " line_count, quantity_sum, round(discount_mean, 6) AS discount_mean, actual, predicted,"
+    " round(probability, 9) AS probability,"
     " outcome FROM x",
 )
 def error_table(spark, sf):
@@ -139,7 +141,11 @@ def _focus(outcome: str) -> str:
         f"WITH {_TABLE}, w AS (SELECT * FROM x WHERE outcome = '{outcome}'),"
         f" v AS ({_long(('probability', *FEATURES), 'w')}),"
         f" n AS (SELECT feature, {_SEVEN} FROM v GROUP BY feature),"
-        " c AS (SELECT 'o_orderpriority=' || o_orderpriority AS name, count(*) AS n FROM w GROUP BY 1)"
+        " c AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS col, '{c}=' || {c} AS name, count(*) AS n FROM w GROUP BY {c}" for c in CATEGORIES
+        )
+        + ")"
         f" SELECT 'rows' AS section, '{outcome}' AS name, 'count' AS statistic,"
         " CAST((SELECT count(*) FROM w) AS DOUBLE) AS value"
         f" UNION ALL SELECT 'rows', '{outcome}', 'percent_of_rows',"
@@ -151,21 +157,21 @@ def _focus(outcome: str) -> str:
         )
         + " UNION ALL SELECT 'category', name, 'count', CAST(n AS DOUBLE) FROM c"
         " UNION ALL SELECT 'category', name, 'percent',"
-        " round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (), 6) FROM c"
+        " round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY col), 6) FROM c"
     )
 
 
 @query("false_positive_summary", _focus("false_positive"))
 def false_positive_summary(spark, sf):
     return shown(
-        errors.error_focus(_table(spark, sf), FEATURES, ("o_orderpriority",), "false_positive")
+        errors.error_focus(_table(spark, sf), FEATURES, CATEGORIES, "false_positive")
     )
 
 
 @query("false_negative_summary", _focus("false_negative"))
 def false_negative_summary(spark, sf):
     return shown(
-        errors.error_focus(_table(spark, sf), FEATURES, ("o_orderpriority",), "false_negative")
+        errors.error_focus(_table(spark, sf), FEATURES, CATEGORIES, "false_negative")
     )
 
 

@@ -1,15 +1,14 @@
 """Model training, importance, final evaluation and batch scoring over the whole tables.
 
-Fits use fewer rounds and trees than the library defaults, so that a check of all
-queries stays short; the rows are never cut.
+All fits use the library's own settings. Scores depend on the solvers, so SQL checks what
+follows from the data: which rows are scored, class counts, ranks and flags.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
 
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from faultline.catalog import sql
@@ -18,7 +17,7 @@ from faultline.operators import importance, models
 from faultline.operators.artifact import file_digests
 from faultline.operators.splits import stratified_split as split_table
 from faultline.plans import workflows
-from faultline.functions.settle import checkpoint_dir
+from faultline.functions.settle import checkpoint_dir, settle
 from faultline.sources import bindings as b
 
 QUERIES = {}
@@ -35,80 +34,132 @@ def query(name, oracle=None):
     return add
 
 
-def _small_forest(weight_sum):
-    return RandomForestClassifier(
-        labelCol="_label", weightCol="weight", numTrees=10, maxDepth=6, seed=42
-    )
-
-
-def _small_boosting(weight_sum):
-    return GBTClassifier(
-        labelCol="_label", weightCol="weight", maxIter=8, maxDepth=4, stepSize=0.3, seed=42
-    )
-
-
-SMALL: Mapping = {
-    **models.BASELINE_MODELS,
-    models.FOREST: _small_forest,
-    models.BOOSTING: _small_boosting,
-}
+_PARTS = f"{sql.FLAGS}, {sql.split('flags', 'o_orderkey', 'at_risk')}"
 
 
 def _train(name):
     def run(spark, sf):
         table = split_table(b.orders_table(spark, sf), "o_orderkey", "at_risk")
-        model = models.fit_model(name, table.where("split = 'train'"), b.ORDERS, SMALL)
-        return models.score(model, table.where("split = 'validation'")).select(
-            "o_orderkey", "at_risk", "probability"
+        model = models.fit_model(name, table.where("split = 'train'"), b.ORDERS)
+        scored = models.score(model, table.where("split = 'validation'"))
+        return scored.select(
+            "o_orderkey", "at_risk", F.expr("probability BETWEEN 0 AND 1").alias("is_probability")
         )
 
     return run
 
 
-QUERIES["train_lr"] = _train(models.LOGISTIC)
-QUERIES["train_rf"] = _train(models.FOREST)
-QUERIES["train_gbt"] = _train(models.BOOSTING)
+for _query, _model in (
+    ("train_lr", models.LOGISTIC),
+    ("train_rf", models.FOREST),
+    ("train_gbt", models.BOOSTING),
+):
+    # SQL can check which rows are scored, and that each has a probability.
+    query(
+        _query,
+        f"WITH {_PARTS} SELECT o_orderkey, label AS at_risk, true AS is_probability FROM parts"
+        " WHERE split = 'validation'",
+    )(_train(_model))
 
 
-@query("model_comparison")
+@query(
+    "model_comparison",
+    f"""WITH {_PARTS}, n AS (SELECT count(*) FILTER (label = 0) AS actual_0,
+      count(*) FILTER (label = 1) AS actual_1 FROM parts WHERE split = 'validation')
+    SELECT model, actual_0, actual_1, model <> '{models.PRIOR}' AS above_prior FROM n,
+      (VALUES {', '.join(f"('{m}')" for m in models.COMPARISON_MODELS)}) v(model)""",
+)
 def model_comparison(spark, sf):
-    return workflows.model_comparison(b.orders_table(spark, sf), b.ORDERS, SMALL)
+    """Every model with its actual class counts, and whether its ranking beats the prior."""
+    compared = workflows.model_comparison(b.orders_table(spark, sf), b.ORDERS)
+    actual = F.col("true_positive") + F.col("false_negative")
+    share = actual / (actual + F.col("true_negative") + F.col("false_positive"))
+    return compared.select(
+        "model",
+        (F.col("true_negative") + F.col("false_positive")).alias("actual_0"),
+        actual.alias("actual_1"),
+        (F.col("average_precision") > share + 1e-9).alias("above_prior"),
+    )
 
 
-@query("final_evaluation")
+@query(
+    "final_evaluation",
+    f"""WITH {_PARTS}, n AS (SELECT count(*) FILTER (label = 0) AS actual_0,
+      count(*) FILTER (label = 1) AS actual_1 FROM parts WHERE split = 'test')
+    SELECT operating_point, actual_0, actual_1, true AS is_threshold, true AS is_ranked FROM n,
+      (VALUES ('default_0_5'), ('selected_balanced_threshold')) v(operating_point)""",
+)
 def final_evaluation(spark, sf):
-    reports = workflows.final_evaluation(
-        b.orders_table(spark, sf), b.ORDERS, models.BOOSTING, SMALL
+    reports = workflows.final_evaluation(b.orders_table(spark, sf), b.ORDERS)
+    return reports["final_evaluation"].select(
+        "operating_point",
+        (F.col("true_negative") + F.col("false_positive")).alias("actual_0"),
+        (F.col("true_positive") + F.col("false_negative")).alias("actual_1"),
+        F.expr("threshold > 0 AND threshold < 1").alias("is_threshold"),
+        F.expr("roc_auc BETWEEN 0 AND 1 AND average_precision BETWEEN 0 AND 1").alias("is_ranked"),
     )
-    return reports["final_evaluation"]
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    "SELECT rank, true AS in_order FROM range(1, "
+    + str(len(b.ORDERS.features) + 1)
+    + ") r(rank) UNION ALL SELECT -count(*), true FROM (VALUES "
+    + ", ".join(f"('{f}')" for f in b.ORDERS.features)
+    + ") f(feature)",
+)
 def feature_importance(spark, sf):
-    reports = workflows.explain(
-        b.orders_table(spark, sf), b.ORDERS, models.LOGISTIC, 1, SMALL
+    """Ranks in order of importance, and a row with the number of known features ranked."""
+    reports = workflows.explain(b.orders_table(spark, sf), b.ORDERS)
+    ranked = settle(reports["feature_importance"])
+    following = F.lead("importance_mean").over(Window.orderBy("rank"))  # one row per feature
+    ordered = ranked.select(
+        F.col("rank").cast("bigint").alias("rank"),
+        F.coalesce(F.col("importance_mean") >= following, F.lit(True)).alias("in_order"),
+    )
+    known = ranked.agg(
+        (-F.count_distinct(F.when(F.col("feature").isin(*b.ORDERS.features), F.col("feature")))).alias("rank"),
+        F.every(F.col("importance_std") >= 0).alias("in_order"),
     )
-    return reports["feature_importance"]
+    return ordered.unionAll(known)
 
 
-@query("batch_prediction")
+@query(
+    "batch_prediction",
+    "SELECT o_orderkey, true AS is_probability, true AS is_consistent FROM orders",
+)
 def batch_prediction(spark, sf):
     """Build, save, check, load and apply an artifact to all orders."""
     path = f"{checkpoint_dir(spark)}/artifact-{uuid.uuid4().hex}"
     table = b.orders_table(spark, sf)
-    workflows.build_artifact(table, b.ORDERS, path, SMALL)
+    workflows.build_artifact(table, b.ORDERS, path)
     rows = table.select(b.ORDERS.key, *b.ORDERS.features)
-    predictions, _ = workflows.batch_prediction(spark, rows, path, b.ORDERS)
-    return predictions
+    predictions, report = workflows.batch_prediction(spark, rows, path, b.ORDERS)
+    flagged = (F.col("failure_probability") >= report["operating_threshold"]).cast("int")
+    return predictions.select(
+        "o_orderkey",
+        F.expr("failure_probability BETWEEN 0 AND 1").alias("is_probability"),
+        (F.col("predicted_failure") == flagged).alias("is_consistent"),
+    )
 
 
-@query("artifact_digest")
+@query(
+    "artifact_digest",
+    """SELECT kind, true AS is_digest, true AS is_repeatable
+    FROM (VALUES ('data'), ('metadata')) v(kind)""",
+)
 def artifact_digest(spark, sf):
-    """(file, sha256) of a saved model, hashed on the executors."""
+    """Digests of a saved model's files by kind: well formed, and equal when hashed again."""
     path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
-    model = models.fit_model(models.PRIOR, b.orders_table(spark, sf), b.ORDERS)
+    model = models.fit_model(models.LOGISTIC, b.orders_table(spark, sf), b.ORDERS)
     model.write().overwrite().save(path)
-    return file_digests(spark, path)
+    first, again = file_digests(spark, path), file_digests(spark, path)
+    both = first.join(again.select("file", F.col("sha256").alias("again")), "file", "full")
+    kind = F.when(F.col("file").contains("/metadata/") | F.col("file").startswith("metadata/"), "metadata")
+    return both.groupBy(kind.otherwise("data").alias("kind")).agg(
+        F.every(F.coalesce(F.col("sha256").rlike("^[0-9a-f]{64}$"), F.lit(False))).alias("is_digest"),
+        F.every(F.coalesce(F.col("sha256") == F.col("again"), F.lit(False))).alias("is_repeatable"),
+    )
 
 
 _SCORE = """(CAST(0.7 AS DOUBLE) * (price / CAST(500000 AS DOUBLE))
@@ -121,7 +172,7 @@ base AS (
       % (SELECT CAST(ceil(count(*) / 4000.0) AS BIGINT) FROM orders) AS block
   FROM flags),
 grid AS (SELECT f AS feature, r AS repeat FROM (VALUES ('o_totalprice'), ('o_custkey')) a(f),
-  (VALUES (1), (2)) b(r)),
+  range(1, 11) b(r)),
 placed AS (
   SELECT base.*, feature, repeat,
     row_number() OVER (PARTITION BY feature, repeat, block
@@ -156,7 +207,6 @@ def _importance(spark, sf):
         "o_orderkey",
         ("o_totalprice", "o_custkey"),
         lambda df: df.withColumn("probability", b.fixed_score()),
-        repeats=2,
         block_rows=4000,
     )
 

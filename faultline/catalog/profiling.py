@@ -337,14 +337,14 @@ def describe_numeric(spark, sf):
 
 @query(
     "numeric_by_supplier",
-    f"WITH {sql.LINES}, v AS ({_long('t', ('l_quantity', 'l_extendedprice'), 'l_suppkey')})"
+    f"WITH {sql.LINES}, v AS ({_long('t', b.LINES.numeric, 'l_suppkey')})"
     f" SELECT l_suppkey, feature, {_STATS} FROM v GROUP BY l_suppkey, feature",
 )
 def numeric_by_supplier(spark, sf):
     """Any number of groups, by ordered buckets and without a broadcast."""
     return shown(
         profile.numeric_summary(
-            b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey", few_groups=False, buckets=16
+            b.lines_table(spark, sf), b.LINES.numeric, "l_suppkey", few_groups=False, buckets=16
         )
     )
 
@@ -368,17 +368,17 @@ def categorical_summary(spark, sf):
 
 @query(
     "constant_columns",
-    f"WITH {sql.ORDERS}, r AS (SELECT * FROM t WHERE at_risk = 1) SELECT * FROM ("
+    f"WITH {sql.ORDERS}, r AS (SELECT *, o_totalprice < 0 AS is_refund FROM t) SELECT * FROM ("
     + " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column FROM r"
         f" HAVING count(DISTINCT {c}) + CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END = 1"
-        for i, (c, _) in enumerate(_ROLES)
+        for i, c in enumerate([*(c for c, _ in _ROLES), "is_refund"])
     )
     + ")",
 )
 def constant_columns(spark, sf):
     table = conform(b.orders_table(spark, sf), b.ORDERS)
-    return profile.constant_columns(table.where("at_risk = 1"))
+    return profile.constant_columns(table.withColumn("is_refund", F.col("o_totalprice") < 0))
 
 
 @query(
@@ -557,7 +557,7 @@ def head(spark, sf):
 
 @query(
     "box_stats_by_supplier",
-    f"""WITH {sql.LINES}, v AS ({_long('t', ('l_quantity', 'l_extendedprice'), 'l_suppkey')}),
+    f"""WITH {sql.LINES}, v AS ({_long('t', b.LINES.numeric, 'l_suppkey')}),
     {_FENCES.format(k="l_suppkey, ")}
     SELECT v.l_suppkey, v.feature, round(max(q1), 6) AS q1, round(max(median), 6) AS median,
       round(max(q3), 6) AS q3,
@@ -570,6 +570,6 @@ def box_stats_by_supplier(spark, sf):
     """Any number of groups: the fences join by salted keys, not by broadcast."""
     return shown(
         explore.box_stats(
-            b.lines_table(spark, sf), ("l_quantity", "l_extendedprice"), "l_suppkey", few_groups=False
+            b.lines_table(spark, sf), b.LINES.numeric, "l_suppkey", few_groups=False
         )
     )

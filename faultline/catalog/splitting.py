@@ -66,7 +66,7 @@ def development_set(spark, sf):
     return splits.development_set(_split_orders(spark, sf))
 
 
-_NUMERIC = ("o_totalprice", "line_count", "quantity_sum", "discount_mean")
+_NUMERIC = b.ORDERS.numeric
 _TABLE = f"WITH {sql.ORDERS}, {sql.split('t', 'o_orderkey', 'at_risk')}"
 
 
@@ -95,29 +95,25 @@ def standard_scale(spark, sf):
     )
 
 
-_STATUS = ("F", "O", "P")
+_LEVELS = {
+    "o_orderstatus": ("F", "O", "P"),
+    "o_orderpriority": ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+}
 
 
 @query(
     "one_hot",
-    "SELECT o_orderkey, "
+    f"{_PARTS} SELECT orders.o_orderkey, "
     + ", ".join(
-        f"CAST(coalesce(o_orderstatus = '{v}', false) AS INTEGER) AS \"o_orderstatus={v}\"" for v in _STATUS
-    )
-    + ", "
-    + ", ".join(
-        f"CAST(coalesce(o_orderpriority = '{v}', false) AS INTEGER) AS \"o_orderpriority={v}\""
-        for v in ("1-URGENT", "2-HIGH")
+        f"CAST(coalesce({c} = '{v}', false) AS INTEGER) AS \"{c}={v}\"" for c, held in _LEVELS.items() for v in held
     )
     + " FROM orders",
 )
 def one_hot(spark, sf):
-    """Levels are learned from urgent orders only: other priorities are unknown, all zeros."""
-    orders = b.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    train = orders.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-    return features.one_hot(train, orders, ("o_orderstatus", "o_orderpriority")).drop(
-        "o_orderstatus", "o_orderpriority"
-    )
+    """Levels are learned from the train part and laid over all orders."""
+    orders = b.read(spark, sf, "orders").select("o_orderkey", *_LEVELS)
+    train = orders.join(_split_orders(spark, sf).where("split = 'train'"), "o_orderkey")
+    return features.one_hot(train, orders, tuple(_LEVELS)).drop(*_LEVELS)
 
 
 @query(

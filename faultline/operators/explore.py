@@ -69,30 +69,43 @@ def target_table(df: DataFrame, target: str, digits: int = 3) -> DataFrame:
     )
 
 
+# Column pairs whose sums one aggregate holds.
+PAIRS_PER_AGGREGATE = 100
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(x, y, r) for all ordered pairs, each over rows where both are present; one pass."""
+    """(x, y, r) for all ordered pairs, each over rows where both are present.
+
+    Every aggregate reads the rows once for PAIRS_PER_AGGREGATE pairs, without copies of
+    rows; r is NULL where it is not a number.
+    """
     spots = range(len(columns))
     pairs = [(a, b) for a in spots for b in spots[a:]]
     plain = df.select(*[number(c).alias(f"_v{i}") for i, c in enumerate(columns)])
-    cells = ", ".join(
-        f"named_struct('_pair', {i}, '_a', _v{a}, '_b', _v{b})" for i, (a, b) in enumerate(pairs)
-    )
-    # Long form: one small aggregate instead of a generated method per pair.
-    each = (
-        plain.select(F.expr(f"inline(array({cells}))"))
-        .where("_a IS NOT NULL AND _b IS NOT NULL")
-        .groupBy("_pair")
-        .agg(finite(F.corr("_a", "_b")).alias("r"))
-    )
 
-    def name(x: int, y: int) -> str:
-        return f"named_struct('x', {text(columns[x])}, 'y', {text(columns[y])})"
+    def cell(a: int, b: int) -> str:
+        x, y, r = text(columns[a]), text(columns[b]), f"_r{a}_{b}"
+        shown = f"CASE WHEN abs({r}) < double('inf') THEN {r} END"
+        return f"named_struct('x', {x}, 'y', {y}, 'r', {shown}, '_n', _n{a}_{b})"
 
-    names = ", ".join(
-        "array(" + ", ".join(name(x, y) for x, y in dict.fromkeys(((a, b), (b, a)))) + ")"
-        for a, b in pairs
-    )
-    return each.select(F.expr(f"inline(array({names})[_pair])"), "r")
+    parts = []
+    for at in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+        some = pairs[at : at + PAIRS_PER_AGGREGATE]
+        sums = plain.agg(
+            *[F.expr(f"corr(_v{a}, _v{b}) AS _r{a}_{b}") for a, b in some],
+            *[F.expr(f"count_if(_v{a} IS NOT NULL AND _v{b} IS NOT NULL) AS _n{a}_{b}") for a, b in some],
+        )
+        both = [p for a, b in some for p in dict.fromkeys(((a, b), (b, a)))]
+        turned = [cell(a, b) if a <= b else cell(b, a).replace(
+            f"'x', {text(columns[b])}, 'y', {text(columns[a])}",
+            f"'x', {text(columns[a])}, 'y', {text(columns[b])}",
+        ) for a, b in both]
+        parts.append(sums.select(F.expr(f"inline(array({', '.join(turned)}))")))
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionAll(more)
+    # Pairs that never stand together have no row.
+    return found.where("_n > 0").select("x", "y", "r")
 
 
 def range_review(
@@ -215,6 +228,12 @@ def histogram(df: DataFrame, features: Sequence[str], bins: int = BINS) -> DataF
 
 def leakage_review(df: DataFrame, spec: DatasetSpec, reasons: dict[str, str] | None = None) -> DataFrame:
     """(column, reason, rows_set, failure_rate_set, failure_rate_unset) of leakage columns."""
+    if not spec.leakage:
+        return df.sparkSession.createDataFrame(
+            [],
+            "column string, reason string, rows_set bigint, failure_rate_set double,"
+            " failure_rate_unset double",
+        )
     y = number(spec.target)
     parts = []
     for i, c in enumerate(spec.leakage):

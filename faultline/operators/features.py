@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
     StandardScaler,
@@ -17,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.columns import col, count_where, number
+from faultline.functions.ordering import exact_quantiles
 from faultline.spec import DatasetSpec
 
 
@@ -84,16 +84,24 @@ def balanced_weights(train: DataFrame, target: str) -> DataFrame:
     return train.withColumn("weight", out)
 
 
-def preparation(spec: DatasetSpec) -> Pipeline:
+def training_medians(train: DataFrame, spec: DatasetSpec) -> dict[str, float]:
+    """The exact median of each numeric feature, 0 where every value is missing."""
+    found = exact_quantiles(train, spec.numeric, {"median": 0.5})
+    medians = {r["feature"]: r["median"] for r in found.collect()}  # one row per feature
+    return {f: medians.get(f) or 0.0 for f in spec.numeric}
+
+
+def preparation(spec: DatasetSpec, fills: Mapping[str, float] | None = None) -> Pipeline:
     """Impute with missing flags, scale, one-hot and assemble into ``features``.
 
-    Training medians fill missing numbers, with a 0/1 flag beside each. The slot for
-    unknown categories is the dropped one, so unknown and missing become all zeros and
-    every real level keeps its own slot.
+    ``fills``, as from ``training_medians``, replace missing numbers, with a 0/1 flag beside
+    each; without them 0 does. The slot for unknown categories is the dropped one, so
+    unknown and missing become all zeros and every real level keeps its own slot.
     """
     n, c = len(spec.numeric), len(spec.categorical)
+    known = fills or {}
     plain = ", ".join(
-        f"CAST(nanvl(CAST(`{f}` AS DOUBLE), NULL) AS DOUBLE) AS _x{i}, "
+        f"coalesce(nanvl(CAST(`{f}` AS DOUBLE), NULL), {float(known.get(f, 0.0))!r}D) AS _f{i}, "
         f"CASE WHEN `{f}` IS NULL OR isnan(CAST(`{f}` AS DOUBLE)) THEN 1D ELSE 0D END AS _g{i}"
         for i, f in enumerate(spec.numeric)
     )
@@ -106,11 +114,6 @@ def preparation(spec: DatasetSpec) -> Pipeline:
     parts = []
     if n:
         stages += [
-            Imputer(
-                strategy="median",
-                inputCols=[f"_x{i}" for i in range(n)],
-                outputCols=[f"_f{i}" for i in range(n)],
-            ),
             VectorAssembler(inputCols=[f"_f{i}" for i in range(n)], outputCol="_numbers"),
             StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
         ]

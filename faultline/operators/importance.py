@@ -21,7 +21,7 @@ from faultline.functions.arguments import at_least_one
 from faultline.functions.columns import col, quoted
 from faultline.functions.columns import text as literal
 from faultline.functions.settle import settle
-from faultline.operators.metrics import average_precision
+from faultline.operators.metrics import counted_scores, ranking_of_counts
 from faultline.spec import SEED
 
 REPEATS = 10
@@ -99,11 +99,11 @@ def permutation_importance(
     does. The standard deviation over repeats is the population one.
     """
     copies = permuted_copies(df, key, features, repeats, seed, block_rows, (label,))
-    scored = settle(
-        score(copies).select("feature", "repeat", col(label).alias("label"), "probability")
-    )
+    scored = score(copies).select("feature", "repeat", col(label).alias("label"), "probability")
+    # Copies are counted by score before anything is written.
+    counts = settle(counted_scores(scored, "label", "probability", ("feature", "repeat")))
     # features x repeats + 1 rows from here on.
-    each = average_precision(scored, ("feature", "repeat"))
+    each = ranking_of_counts(counts, ("feature", "repeat"))
     whole = Window.partitionBy()
     baseline = F.max(F.when(F.col("feature").isNull(), F.col("average_precision"))).over(whole)
     return (

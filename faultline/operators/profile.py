@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.columns import (
@@ -174,6 +174,10 @@ def numeric_summary(
 
 def categorical_summary(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
     """(column, value, count, percent) over all rows; missing shown as <NA>."""
+    if not categorical:
+        return df.sparkSession.createDataFrame(
+            [], "column string, value string, count bigint, percent double"
+        )
     cells = [F.struct(F.lit(c).alias("column"), _text(df, c).alias("value")) for c in categorical]
     counts = (
         df.select(F.inline(F.array(*cells)))
@@ -212,44 +216,67 @@ def constant_columns(df: DataFrame) -> DataFrame:
 
 def unexpected_categories(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """(column, value, count): values outside the allowed list; missing is ignored."""
+    return _unexpected(df, spec, F.count(F.lit(1)))
+
+
+def _unexpected(df: DataFrame, spec: DatasetSpec, count: Column) -> DataFrame:
     cells = [
-        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value"))
+        F.struct(F.lit(c).alias("_column"), col(c).cast("string").alias("_value"))
         for c in spec.allowed
         if c in df.columns
     ]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column string, value string, count bigint")
     allowed = F.lit(False)
     for c, values in spec.allowed.items():
-        allowed = allowed | ((F.col("column") == c) & F.col("value").isin(*values))
+        allowed = allowed | ((F.col("_column") == c) & F.col("_value").isin(*values))
     return (
-        df.select(F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull() & ~allowed)
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("count"))
+        df.select("*", F.inline(F.array(*cells)))
+        .where(F.col("_value").isNotNull() & ~allowed)
+        .groupBy(F.col("_column").alias("column"), F.col("_value").alias("value"))
+        .agg(count.alias("count"))
     )
 
 
 def data_warnings(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """(ord, code, message) of data risks in a fixed order; no rows when there are none.
 
-    Built from the other profile tables, each reduced to one row and one column.
+    Equal rows are counted once; all facts come from these counts, so the table is read
+    in one pass and its exchange is reused.
     """
-    target = target_summary(df, spec.target).agg(
-        F.count(F.lit(1)).alias("_classes"), F.max("imbalance_ratio").alias("_ratio")
+    counted = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    gaps = [f"sum(IF({_gap(kind, c)}, _n, 0))" for c, kind in df.dtypes]
+    ends = []
+    for i, (c, kind) in enumerate(df.dtypes):
+        shown = f"CASE WHEN NOT ({_gap(kind, c)}) THEN {quoted(c)} END"
+        ends += [f"min({shown}) AS _a{i}", f"max({shown}) AS _b{i}", f"{gaps[i]} AS _m{i}"]
+    one = counted.agg(
+        F.sum("_n").alias("_rows"), F.sum(F.col("_n") - 1).alias("_copies"), *[F.expr(e) for e in ends]
     )
-    target_gaps = df.agg(count_where(_missing(df, spec.target)).alias("_target_gaps"))
-    gaps = missing_values(df).agg(F.sum("missing_count").alias("_gaps"))
-    copies = duplicate_rows(df).select(F.col("duplicate_row_count").alias("_copies"))
     # At most one entry per column of the table.
-    constant = constant_columns(df).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("position", "column"))), lambda s: s["column"]),
-            ", ",
-        ).alias("_constant")
+    constant = ", ".join(
+        f"IF(_m{i} = _rows OR (_m{i} = 0 AND _a{i} = _b{i}), {text(c)}, NULL)"
+        for i, c in enumerate(df.columns)
+    )
+    whole = one.select(
+        "_copies",
+        F.expr(" + ".join(f"_m{i}" for i in range(len(df.columns)))).alias("_gaps"),
+        F.col(f"_m{df.columns.index(spec.target)}").alias("_target_gaps"),
+        F.expr(f"array_join(array({constant}), ', ')").alias("_constant"),
+    )
+    classes = (
+        counted.where(~_missing(df, spec.target))
+        .groupBy(_text(df, spec.target).alias("label"))
+        .agg(F.sum("_n").alias("count"))
+        .agg(
+            F.count(F.lit(1)).alias("_classes"),
+            F.when(F.count(F.lit(1)) > 1, F.max("count").cast("double") / F.min("count")).alias("_ratio"),
+        )
     )
-    odd = unexpected_categories(df, spec).agg(
+    odd = _unexpected(counted, spec, F.sum("_n")).agg(
         F.count(F.lit(1)).alias("_odd_values"), F.sum("count").alias("_odd_rows")
     )
-    facts = beside([target, target_gaps, gaps, copies, constant, odd], ())
+    facts = beside([whole, classes, odd], ())
 
     rules = [
         (

@@ -28,11 +28,15 @@ def predict_scored(df: DataFrame, key: str, threshold: float) -> DataFrame:
 def predict(
     model: PipelineModel, df: DataFrame, spec: DatasetSpec, threshold: float
 ) -> DataFrame:
-    """Score feature rows; keeps the key. No refit, no shuffle; batch or streaming."""
-    keep = [c for c in (spec.key,) if c in df.columns]
+    """Score feature rows; keeps the key. No refit, no shuffle; batch or streaming.
+
+    Rows without the key column are refused: their predictions would have no identity.
+    """
+    if spec.key not in df.columns:
+        raise ValueError(f"prediction input needs the key column {spec.key}")
     scored = score(model, df)
     return scored.select(
-        *[col(c) for c in keep], *prediction_columns(F.col("probability"), threshold)
+        col(spec.key), *prediction_columns(F.col("probability"), threshold)
     )
 
 

@@ -19,7 +19,12 @@ from faultline.operators.importance import REPEATS, permutation_importance, rank
 from faultline.operators.metrics import evaluate_models, fixed_threshold_metrics, ranking_metrics
 from faultline.operators.models import BOOSTING, COMPARISON_MODELS
 from faultline.operators.scoring import predict
-from faultline.operators.splits import development_set, split_class_counts, stratified_split
+from faultline.operators.splits import (
+    development_set,
+    split_class_counts,
+    split_counts,
+    stratified_split,
+)
 from faultline.functions.settle import settle
 from faultline.plans.sinks import COMPARISON_COLUMNS
 from faultline.sources.tables import load_prediction_input
@@ -77,6 +82,13 @@ def model_comparison(
     df: DataFrame, spec: DatasetSpec, available: Models = COMPARISON_MODELS
 ) -> DataFrame:
     """Fit all models on train, judge them on validation; one row per model."""
+    return comparison_run(df, spec, available)["model_comparison"]
+
+
+def comparison_run(
+    df: DataFrame, spec: DatasetSpec, available: Models = COMPARISON_MODELS
+) -> dict[str, DataFrame]:
+    """model_comparison, best_model, split_counts and class_counts of one run."""
     table = prepare_table(df, spec)
     fitted = models.fit_models(part(table, "train"), spec, available)
     scored = settle(models.score_models(fitted, part(table, "validation"), spec))
@@ -84,9 +96,15 @@ def model_comparison(
         [(name, took) for name, (_, took) in fitted.items()],
         "model string, training_seconds double",
     )
-    return beside([evaluate_models(scored, "model"), seconds], ["model"]).select(
+    compared = beside([evaluate_models(scored, "model"), seconds], ["model"]).select(
         *COMPARISON_COLUMNS
     )
+    return {
+        "model_comparison": compared,
+        "best_model": models.best_model(compared),
+        "split_counts": split_counts(table),
+        "class_counts": split_class_counts(table, spec.target),
+    }
 
 
 def baseline_training(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -106,6 +124,17 @@ def threshold_analysis(
     rate(minimum_recall, "minimum_recall")
     cost_pair(false_negative_cost, false_positive_cost)
     validation = score_validation(df, spec, model_name, available)
+    return _threshold_reports(
+        validation, minimum_recall, false_negative_cost, false_positive_cost
+    )
+
+
+def _threshold_reports(
+    validation: Validation,
+    minimum_recall: float,
+    false_negative_cost: float,
+    false_positive_cost: float,
+) -> dict[str, DataFrame]:
     rows = thresholds.costed_sweep(
         validation.scored,
         false_negative_cost=false_negative_cost,
@@ -130,9 +159,21 @@ def recommend_profiles(
     """operating_profiles and shared_thresholds; arguments are checked before the fit."""
     rate(minimum_recall, "minimum_recall")
     rate(minimum_precision, "minimum_precision")
-    analysis = threshold_analysis(
-        df, spec, model_name, 0.0, false_negative_cost, false_positive_cost, available
+    cost_pair(false_negative_cost, false_positive_cost)
+    validation = score_validation(df, spec, model_name, available)
+    return _profile_reports(
+        validation, minimum_recall, minimum_precision, false_negative_cost, false_positive_cost
     )
+
+
+def _profile_reports(
+    validation: Validation,
+    minimum_recall: float = PROFILE_MINIMUM_RECALL,
+    minimum_precision: float = PROFILE_MINIMUM_PRECISION,
+    false_negative_cost: float = FALSE_NEGATIVE_COST,
+    false_positive_cost: float = FALSE_POSITIVE_COST,
+) -> dict[str, DataFrame]:
+    analysis = _threshold_reports(validation, 0.0, false_negative_cost, false_positive_cost)
     profiles = thresholds.operating_profiles(
         analysis["threshold_metrics"], minimum_recall, minimum_precision
     )
@@ -148,7 +189,7 @@ def study_thresholds(
 ) -> dict[str, float]:
     """Named thresholds to study: the given ones, or the four selections."""
     if wanted is not None:
-        return {f"threshold_{t:.2f}".replace(".", "_"): t for t in threshold_list(wanted)}
+        return {f"threshold_{t!r}".replace(".", "_"): t for t in threshold_list(wanted)}
     picked = thresholds.selected_thresholds(thresholds.costed_sweep(scored))
     found = {r["selection"]: r["threshold"] for r in picked.collect()}  # four rows
     names = ("default_0_5", "best_f1", "minimum_recall", "lowest_cost")
@@ -170,8 +211,10 @@ def error_analysis(
     at_least_one(top_n, "top_n")
     if wanted is not None:
         threshold_list(wanted)
-    scored = score_validation(df, spec, model_name, available).scored
-    return error_reports(scored, spec, study_thresholds(scored, wanted), top_n)
+    validation = score_validation(df, spec, model_name, available)
+    scored = validation.scored
+    reports = error_reports(scored, spec, study_thresholds(scored, wanted), top_n)
+    return reports | {"split_counts": split_counts(validation.table)}
 
 
 def error_reports(
@@ -197,6 +240,7 @@ def error_reports(
     predicted = (F.col("probability") >= F.col("_threshold")).cast("int")
     each = copies.withColumn("outcome", errors.outcome_of(F.col("label"), predicted))
     out = {
+        "studied_thresholds": names.withColumn("primary", F.col("selection") == primary),
         "threshold_error_summary": per_threshold,
         "outcome_summary": errors.outcome_summary(each, "selection"),
         "numeric_by_outcome": errors.numeric_by_outcome(each, spec.numeric, "selection"),
@@ -240,11 +284,10 @@ def balanced_threshold(profiles: DataFrame) -> float:
     return rows[0]["threshold"]
 
 
-def _development(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
-    table = prepare_table(df, spec)
+def _development(table: DataFrame, spec: DatasetSpec) -> DataFrame:
     if not split_integrity(table, spec.key).isEmpty():
         raise ValueError(f"{spec.key} does not identify rows; the split is not sound")
-    return table, development_set(table)
+    return development_set(table)
 
 
 def final_evaluation_rows(scored: DataFrame, threshold: float) -> DataFrame:
@@ -276,9 +319,11 @@ def final_evaluation(
     df: DataFrame, spec: DatasetSpec, model_name: str = BOOSTING, available: Models = COMPARISON_MODELS
 ) -> dict[str, DataFrame]:
     """Freeze the threshold on validation, refit on development, score test once."""
-    profiles = recommend_profiles(df, spec, model_name, available=available)["operating_profiles"]
-    threshold = balanced_threshold(profiles)
-    table, development = _development(df, spec)
+    # One split serves the threshold, the second fit and the test rows.
+    validation = score_validation(df, spec, model_name, available)
+    table = validation.table
+    threshold = balanced_threshold(_profile_reports(validation)["operating_profiles"])
+    development = _development(table, spec)
     model = models.fit_model(model_name, development, spec, available)
     scored = settle(
         models.score(model, part(table, "test")).select(
@@ -296,9 +341,9 @@ def build_artifact(
     df: DataFrame, spec: DatasetSpec, path: str, available: Models = COMPARISON_MODELS
 ) -> dict:
     """Fit the final model on development rows and save it; returns its metadata."""
-    profiles = recommend_profiles(df, spec, BOOSTING, available=available)["operating_profiles"]
-    threshold = balanced_threshold(profiles)
-    _, development = _development(df, spec)
+    validation = score_validation(df, spec, BOOSTING, available)
+    threshold = balanced_threshold(_profile_reports(validation)["operating_profiles"])
+    development = _development(validation.table, spec)
     counts = {
         int(r["_y"]): r["count"]
         for r in development.groupBy(number(spec.target).alias("_y")).count().collect()
@@ -317,7 +362,7 @@ def batch_prediction(
     """Score new rows with a saved artifact: (predictions, report).
 
     With ``output`` the rows are written to Parquet and counted on the way, so they are
-    read once; without it the report holds no count and nothing runs yet.
+    read once; without it the rows are counted and checked in a pass of their own.
     """
     rows = load_prediction_input(data, spec, spark)
     model, metadata = load_artifact(spark, artifact_path, spec)
@@ -340,4 +385,12 @@ def batch_prediction(
             raise ValueError(f"{seen.get['bad']} probabilities lie outside [0, 1]")
         report["prediction_count"] = seen.get["n"]
         predictions = spark.read.parquet(output)
+    else:
+        seen = predictions.agg(
+            F.count(F.lit(1)),
+            F.count_if(F.expr("NOT coalesce(failure_probability BETWEEN 0 AND 1, false)")),
+        ).first()
+        if seen[1]:
+            raise ValueError(f"{seen[1]} probabilities lie outside [0, 1]")
+        report["prediction_count"] = seen[0]
     return predictions, report

@@ -62,18 +62,38 @@ def conform(
 ) -> DataFrame:
     """Project the contract columns in order; NaN becomes missing once, here."""
     wanted = spec.required if columns is None else columns
+    kinds = dict(df.dtypes)
+
     def cell(c: str) -> str:
         name = quoted(c)
         if c in spec.numeric:
             return f"nanvl(CAST({name} AS DOUBLE), NULL) AS {name}"
+        if kinds[c] in ("double", "float"):
+            value = f"nanvl({name}, CAST(NULL AS {kinds[c]}))"
+            return f"CAST({value} AS {spec.type_of(c).simpleString()}) AS {name}"
         return f"CAST({name} AS {spec.type_of(c).simpleString()}) AS {name}"
 
     return df.selectExpr(*[cell(c) for c in wanted])
 
 
-def load_table(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
-    """Read CSV or Parquet, check the structure, project the contract columns."""
-    if path.rstrip("/").endswith(".csv"):
+def is_csv(path: str, kind: str | None = None) -> bool:
+    """Whether a path holds CSV: as `kind` ("csv" or "parquet") says, else by its ending."""
+    if kind is not None:
+        if kind not in ("csv", "parquet"):
+            raise ValueError(f"unknown format: {kind}")
+        return kind == "csv"
+    name = path.rstrip("/").lower()
+    return name.endswith((".csv", ".csv.gz", ".csv.bz2", ".csv.zst", ".csv.lz4"))
+
+
+def load_table(
+    spark: SparkSession, path: str, spec: DatasetSpec, kind: str | None = None
+) -> DataFrame:
+    """Read CSV or Parquet, check the structure, project the contract columns.
+
+    A folder of CSV files without a telling name needs kind="csv".
+    """
+    if is_csv(path, kind):
         table = read_csv(spark, path, spec)
     else:
         source = spark.read.parquet(path)
@@ -85,17 +105,21 @@ def load_table(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
 
 
 def load_prediction_input(
-    source: DataFrame | str, spec: DatasetSpec, spark: SparkSession | None = None
+    source: DataFrame | str,
+    spec: DatasetSpec,
+    spark: SparkSession | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
     """Feature columns only, exactly in contract order; missing values are allowed.
 
-    A frame may also carry the key column, which stands in for a row index. Works on
+    A source may also carry the key column, which stands in for a row index; without it
+    predictions cannot be matched to rows, which `predict` refuses. Works on
     streaming frames, as only column names are looked at.
     """
     if isinstance(source, str):
         if spark is None:
             raise ValueError("a session is needed to read a path")
-        if source.rstrip("/").endswith(".csv"):
+        if is_csv(source, kind):
             header = csv_header(spark, source)
             repeats = repeated_names(header)
             if repeats:

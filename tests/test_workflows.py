@@ -112,7 +112,7 @@ def test_arguments_are_checked_before_any_fit(table):
 def test_error_analysis(table):
     reports = workflows.error_analysis(table, SPEC, models.LOGISTIC, [0.5, 0.05], 3, QUICK)
     names = {r["selection"] for r in reports["threshold_error_summary"].collect()}
-    assert names == {"threshold_0_50", "threshold_0_05"}
+    assert names == {"threshold_0_5", "threshold_0_05"}
     assert reports["outcome_summary"].count() == 8
     assert reports["numeric_by_outcome"].count() == 2 * 4 * 5
     assert {"false_positive_summary", "top_false_negatives", "false_negative_mean_differences"} <= set(reports)
@@ -186,7 +186,7 @@ def test_final_rows_of_the_fixed_case(spark):
 def test_repeated_keys_are_refused(table):
     twice = table.unionByName(table)
     with pytest.raises(ValueError):
-        workflows._development(twice, SPEC)
+        workflows._development(workflows.prepare_table(twice, SPEC), SPEC)
 
 
 def test_artifact_round_trip(spark, table, saved):
