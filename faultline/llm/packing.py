@@ -244,7 +244,7 @@ def token_pieces(
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             owners, rows = [], []
-            for i, ids in enumerate(encode_all(batch.column(1).to_pylist(), tokenizer, blanks)):
+            for i, ids in enumerate(encode_all(batch.column(1), tokenizer, blanks)):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for number, (start, length) in enumerate(cut_pieces(len(ids), capacity)):
                     own = ids[start : start + length]

@@ -166,8 +166,7 @@ def write_tokens(
         for batch in batches:
             kind_of = batch.column(0).type
             own_keys = batch.column(0).to_pylist()
-            texts = batch.column(1).to_pylist()
-            for own, ids in zip(own_keys, encode_all(texts, tokenizer, blanks), strict=True):
+            for own, ids in zip(own_keys, encode_all(batch.column(1), tokenizer, blanks), strict=True):
                 keys.append(own)
                 held.append(np.append(ids, np.uint32(end_id)))
                 size += len(ids) + 1
