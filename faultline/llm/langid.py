@@ -153,7 +153,8 @@ def train(
         counts = labelled.groupBy("lang").count()
         share = F.lit(float(train_rows)) / F.col("count")
         draw = F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30)) / float(1 << 30)
-        labelled = labelled.join(counts, "lang").where(draw < share)
+        # One row per language, as the model itself has.
+        labelled = labelled.join(F.broadcast(counts), "lang").where(draw < share)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
