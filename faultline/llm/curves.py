@@ -99,6 +99,8 @@ def _moments(points: DataFrame, dimensions: int) -> tuple[np.ndarray, np.ndarray
 
     sums = points.select("vector").mapInArrow(partial, "i long, x double").groupBy("i").agg(F.sum("x"))
     cells = sums.toPandas().sort_values("i").iloc[:, 1].to_numpy()
+    if not len(cells):  # no vector at all
+        return np.zeros(dimensions), np.eye(dimensions)
     cells = cells.reshape(dimensions + 1, dimensions + 1)
     n = max(cells[-1, -1], 1.0)
     mean = cells[-1, :-1] / n

@@ -3,7 +3,7 @@
 Two first-order Markov models over the letters of tokens are trained from labelled
 samples: one of random strings (keys, tokens, digests), one of ordinary identifiers and
 words. A long token with letters and digits is reported when the logarithm of its likelihood
-ratio under the two models passes a threshold. Tokens that a fixed pattern already
+ratio under the two models passes a threshold per letter. Tokens that a fixed pattern already
 covers are not reported twice. Only DataFrame and SQL functions are used.
 """
 
@@ -30,8 +30,8 @@ ORDINARY = r"[A-Za-z0-9_-]{6,}"
 FIRST_LETTER, LETTERS = 43, 80
 #: Weight of the uniform distribution per letter, in letters seen.
 SMOOTHING = 64.0
-#: Least log-likelihood ratio of a reported token.
-THRESHOLD = 12.0
+#: Least log-likelihood ratio of a reported token, per pair of neighbouring letters.
+THRESHOLD = 1.5
 #: Documents that labelled samples are taken from, at most about.
 RANDOM_DOCS, ORDINARY_DOCS = 50_000, 4_000
 MASK = "[SECRET]"
@@ -193,7 +193,10 @@ def scan_secrets(
         F.col("key").alias(key),
         *(["kept"] if keep else []),
         "base",
-        F.filter("long", lambda s: log_ratio(s["hit"], model) >= threshold).alias("added"),
+        F.filter(
+            "long",
+            lambda s: log_ratio(s["hit"], model) >= threshold * (F.char_length(s["hit"]) - 1),
+        ).alias("added"),
     )
 
 
