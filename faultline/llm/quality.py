@@ -27,6 +27,8 @@ FEATURES, WIDTH, PENALTY = 256, 4.0, 1e-3
 BINS = 1000
 #: Labelled rows the model is fitted on, at most about; fewer are used whole.
 TRAIN_ROWS = 50_000
+#: Rows of statistics that one task sums into the normal equations, at least.
+ROWS_PER_TASK = 10_000
 #: Bytes at whose multiples a long text is cut for the compression ratio.
 ZIP_BYTES = 1 << 16
 
@@ -167,18 +169,21 @@ def train(
 ) -> QualityModel | None:
     """Fits on the rows of `docs` with a 0/1 label; None without any labelled row.
 
-    Beyond `train_rows` labelled rows a hash sample of about that many is used. Rows of
-    `labels` that repeat a key, or have another label, count as they stand or not at all.
+    Beyond `train_rows` labelled keys a hash sample of about that many is used. A key that
+    `labels` repeats has the mean of its labels; other labels than 0 and 1 do not count.
     """
     send_code(docs.sparkSession)
     wanted = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(label).cast("double").alias("y")
     )
+    wanted = settle(wanted.groupBy("key").agg(F.avg("y").alias("y")))
     total = wanted.count()
     if total > train_rows:
         draw = F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30))
         wanted = wanted.where(draw < F.lit(int((1 << 30) * train_rows / total)))
-    joined = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(wanted, "key")
+    # About `train_rows` keys at most, so the texts need not be shuffled.
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    joined = texts.join(F.broadcast(wanted), "key")
 
     def measure(batches):
         for batch in batches:
@@ -187,6 +192,7 @@ def train(
             yield pa.RecordBatch.from_arrays([values, batch.column(1)], names=["x", "y"])
 
     rows = settle(joined.select("text", "y").mapInArrow(measure, "x array<double>, y double"))
+    rows = rows.coalesce(max(1, -(-min(total, train_rows) // ROWS_PER_TASK)))
 
     def table(batch):
         x = batch.column(0).flatten().to_numpy().reshape(-1, STATISTICS)
@@ -207,12 +213,15 @@ def train(
     def equations(batch):
         x, y = table(batch)
         z = fourier((x - mean) / scale, features, width, seed)
-        return np.concatenate([(z.T @ z).ravel(), z.T @ y])
+        return np.concatenate([(z.T @ z)[upper], z.T @ y])
 
-    found = _summed(rows, equations)
     size = features + STATISTICS + 1
-    normal = found[: size * size].reshape(size, size) + penalty * count * np.eye(size) / features
-    weights = np.linalg.solve(normal, found[size * size :])
+    upper = np.triu_indices(size)
+    found = _summed(rows, equations)
+    normal = np.zeros((size, size))
+    normal[upper] = found[: len(upper[0])]
+    normal = np.triu(normal) + np.triu(normal, 1).T + penalty * count * np.eye(size) / features
+    weights = np.linalg.solve(normal, found[len(upper[0]) :])
     model = QualityModel(
         mean, scale, weights, np.zeros(1), np.zeros(1), features, width, seed
     )
