@@ -11,10 +11,11 @@ from faultline.functions.settle import settle
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node of the edges (a, b) reaches.
 
-    Each round hooks every node to its smallest neighbour, follows these pointers twice,
-    and keeps only edges between different trees, so a star or a long chain shrinks by a
-    multiple per round. Nodes without edges are not in the result; loops and repeated
-    edges do no harm. All state is in checkpoints, nothing is collected.
+    Each round hooks every node to its smallest neighbour, follows these pointers to their
+    roots in steps that double, and keeps only edges between different trees: a star or a
+    chain is done in one round, and any graph loses at least half of its nodes. Nodes without
+    edges are not in the result; loops and repeated edges do no harm. All state is in
+    checkpoints, nothing is collected.
     """
     left = settle(edges.select("a", "b").where("a <> b").distinct())
     labels = settle(
@@ -29,11 +30,18 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         hooks = settle(
             both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("up"))
         )
-        for _ in range(2):
+        while True:  # follow the pointers until each node has the root of its tree
             above = hooks.select(F.col("a").alias("up"), F.col("up").alias("top"))
-            hooks = settle(
-                hooks.join(above, "up", "left").select("a", F.coalesce("top", "up").alias("up"))
+            jumped = settle(
+                hooks.join(above, "up", "left").select(
+                    "a",
+                    F.coalesce("top", "up").alias("up"),
+                    (F.coalesce("top", "up") != F.col("up")).alias("moved"),
+                )
             )
+            hooks = jumped.drop("moved")
+            if jumped.where("moved").isEmpty():
+                break
         labels = settle(
             labels.join(hooks, labels["component"] == hooks["a"], "left").select(
                 "node", F.coalesce("up", "component").alias("component")

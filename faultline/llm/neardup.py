@@ -6,10 +6,13 @@ parity bitmap of the values (an odd sketch, whose XOR with another one counts th
 differences) drops the pairs that are clearly below the limit. What stays is confirmed by
 the exact overlap of the full sets. Components of confirmed links are the groups.
 
-A crowded band is not expanded into pairs. Its members meet its smallest member first; bands
+A band is not expanded into pairs. Its members meet its smallest member first; bands
 whose members have become one component that way are done. In the others only members
 outside the band's largest component meet the rest, so every two members of a band that
 are not yet connected are compared and no link between different components is lost.
+The members of crowded bands get a finer odd sketch of 4096 values for that, and meet
+in blocks of bounded size that give out only the pairs whose sketches are close, and each
+only in the first band that it shares.
 The chance that a pair at the limit shares no band is (1 - 0.8^5)^32 < 4e-6, and that its
 sketch fails it below 1e-7.
 """
@@ -19,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +45,9 @@ SKETCH_BITS = 512
 #: How far below the limit a sketch estimate may lie: five to six standard deviations.
 MARGIN = 0.2
 CHUNK = 1 << 14
+#: Bands with more members than this compare fine sketches, in blocks of so many members.
+CROWD, BLOCK = 8, 256
+FINE_SAMPLES, FINE_BITS, FINE_MARGIN = 4096, 4096, 0.05
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -65,33 +72,48 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
+def minhash(own: np.ndarray, flip: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The smallest value of each hash function over a set."""
+    values = np.full(len(flip), 0xFFFFFFFF, np.uint32)
+    high = (own >> np.uint64(32)).astype(np.uint32)
+    step = max(1, CHUNK * BANDS * ROWS // len(flip))
+    for at in range(0, len(high), step):
+        part = (high[None, at : at + step] ^ flip) * times
+        values = np.minimum(values, part.min(axis=1))
+    return values
+
+
+def functions(samples: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    flip = (multipliers(samples, seed) >> np.uint64(32)).astype(np.uint32)[:, None]
+    return flip, (multipliers(samples, seed + 1) >> np.uint64(31)).astype(np.uint32)[:, None] | 1
+
+
+def odd_sketch(values: np.ndarray, bit: np.ndarray, bits: int) -> bytes:
+    """The parity bitmap of MinHash values."""
+    place = mix(values.astype(np.uint64) * bit[0] + bit) % np.uint64(bits)
+    odd = np.bincount(place.astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 class Signer:
     """MinHash values, band keys, odd sketch and fingerprint of a shingle set."""
 
     def __init__(self) -> None:
         samples = BANDS * ROWS
-        self.flip = (multipliers(samples, 21) >> np.uint64(32)).astype(np.uint32)[:, None]
-        self.times = (multipliers(samples, 22) >> np.uint64(31)).astype(np.uint32)[:, None] | 1
+        self.flip, self.times = functions(samples, 21)
         self.inside = multipliers(ROWS, 23)
         self.band = multipliers(BANDS, 24)
         self.bit = multipliers(samples, 25)
 
     def minhash(self, own: np.ndarray) -> np.ndarray:
-        values = np.full(len(self.flip), 0xFFFFFFFF, np.uint32)
-        high = (own >> np.uint64(32)).astype(np.uint32)
-        for at in range(0, len(high), CHUNK):
-            part = (high[None, at : at + CHUNK] ^ self.flip) * self.times
-            values = np.minimum(values, part.min(axis=1))
-        return values
+        return minhash(own, self.flip, self.times)
 
     def bands(self, values: np.ndarray) -> np.ndarray:
         table = values.astype(np.uint64).reshape(BANDS, ROWS) + np.uint64(1)
         return mix((table * self.inside).sum(axis=1, dtype=np.uint64) + self.band).view(np.int64)
 
     def sketch(self, values: np.ndarray) -> bytes:
-        bit = mix(values.astype(np.uint64) * self.bit[0] + self.bit) % np.uint64(SKETCH_BITS)
-        odd = np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1
-        return np.packbits(odd.astype(np.uint8)).tobytes()
+        return odd_sketch(values, self.bit, SKETCH_BITS)
 
     @staticmethod
     def print_of(own: np.ndarray) -> tuple[int, int]:
@@ -100,18 +122,25 @@ class Signer:
         return int(one.view(np.int64)), int(two.view(np.int64))
 
 
-def most_odd_bits(limit: float) -> int:
-    """XOR bits that a pair at `limit - MARGIN` is expected to have; more drop a pair."""
-    flips = 2 * BANDS * ROWS * (1 - max(limit - MARGIN, 0.0))
-    return int(np.ceil(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** flips)))
+def most_odd_bits(
+    limit: float, samples: int = BANDS * ROWS, bits: int = SKETCH_BITS, margin: float = MARGIN
+) -> int:
+    """XOR bits that a pair at `limit - margin` is expected to have; more drop a pair."""
+    flips = 2 * samples * (1 - max(limit - margin, 0.0))
+    return int(np.ceil(bits / 2 * (1 - (1 - 2 / bits) ** flips)))
 
 
 _PRINTS = pa.schema(
     [("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64())]
 )
 _SIGNED = pa.schema(
-    [("rep", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())]
+    [
+        ("rep", pa.int64()),
+        ("bands", pa.list_(pa.int64())),
+        ("sketch", pa.binary()),
+    ]
 )
+_FINE = pa.schema([("rep", pa.int64()), ("fine", pa.binary())])
 _SETS = pa.schema([("rep", pa.int64()), ("items", pa.list_(pa.int64()))])
 
 
@@ -242,25 +271,105 @@ def _links(first: DataFrame, width: int, percent: int) -> DataFrame:
             "band", "rep", F.coalesce("component", "rep").alias("part")
         )
     )
-    parts = labelled.groupBy("band", "part").agg(F.count("*").alias("n"))
+    parts = labelled.groupBy("band", "part").agg(F.count("*").alias("held"))
     largest = settle(
         parts.groupBy("band")
-        .agg(F.max(F.struct("n", "part")).alias("most"), F.count("*").alias("parts"))
+        .agg(
+            F.max(F.struct("held", "part")).alias("most"),
+            F.sum("held").alias("members"),
+            F.count("*").alias("parts"),
+        )
         .where("parts > 1")
-        .select("band", F.col("most.part").alias("main"))
+        .select("band", "members", F.col("most.part").alias("main"))
     )
-    open_bands = settle(labelled.join(largest, "band"))
-    outside = open_bands.where("part <> main").select("band", F.col("rep").alias("x"), F.col("part").alias("px"))
-    rest = (
-        open_bands.join(outside, "band")
-        .where("part <> px")
-        .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
+    open_rows = settle(labelled.join(largest, "band"))
+    few = _across(open_rows.where(F.col("members") <= CROWD))
+    many = _close_in_crowds(
+        open_rows.where(F.col("members") > CROWD), signed.select("rep", "bands"), texts, width, percent
     )
+    rest = few.union(many).distinct()
+    rest = rest.join(tried, ["a", "b"], "left_anti")
     return links.union(confirmed(settle(rest), sketches, texts, width, percent))
 
 
+def _across(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each small band: a member outside the main component, and one of another."""
+    outside = rows.where("part <> main").select(
+        "band", F.col("rep").alias("x"), F.col("part").alias("px")
+    )
+    return (
+        rows.join(outside, "band")
+        .where(F.col("part") != F.col("px"))
+        .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"))
+    )
+
+
+def _close_in_crowds(
+    rows: DataFrame, bands: DataFrame, texts: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """The pairs that _across means, of crowded bands, if their fine sketches are close.
+
+    Members and outside members of a band are dealt into blocks by hash; each two blocks
+    meet in one group of at most about 2 x BLOCK rows.
+    """
+    flip, times = functions(FINE_SAMPLES, 31)
+    bit = multipliers(FINE_SAMPLES, 33)
+    limit = most_odd_bits(percent / 100, FINE_SAMPLES, FINE_BITS, FINE_MARGIN)
+    words = FINE_BITS // 64
+
+    def fine_row(k, own):
+        return (k, odd_sketch(minhash(own, flip, times), bit, FINE_BITS))
+
+    fine = settle(
+        texts.join(rows.select("rep").distinct(), "rep", "left_semi")
+        .select("rep", "text")
+        .mapInArrow(_with_rows((_FINE, fine_row), width), "rep long, fine binary")
+        .dropDuplicates(["rep"])
+    )
+    known = settle(bands.dropDuplicates(["rep"]).join(fine, "rep"))
+    sketched = rows.join(known, "rep").withColumn(
+        "blocks", F.ceil(F.col("members") / BLOCK).cast("long")
+    )
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    outside = F.col("part") != F.col("main")
+    # As few blocks of outside members as their number needs.
+    outsiders = rows.where(outside).groupBy("band").agg(
+        F.ceil(F.count("*") / BLOCK).cast("long").alias("outside_blocks")
+    )
+    sketched = sketched.join(settle(outsiders), "band")
+    own_outside = F.pmod(F.xxhash64("rep"), F.col("outside_blocks"))
+    every_outside = F.sequence(F.lit(0).cast("long"), F.col("outside_blocks") - 1)
+    held = ["rep", "part", "bands", "fine"]
+    here = sketched.select(
+        "band", own.alias("i"), F.explode(every_outside).alias("j"), F.lit(False).alias("ask"), *held
+    )
+    asking = sketched.where(outside).select(
+        "band", F.explode(every).alias("i"), own_outside.alias("j"), F.lit(True).alias("ask"), *held
+    )
+
+    def close(table):
+        ask = table["ask"].to_numpy()
+        reps, parts = table["rep"].to_numpy(), table["part"].to_numpy()
+        bits = np.frombuffer(b"".join(table["fine"]), np.uint64).reshape(-1, words)
+        bands = np.array(table["bands"].tolist(), np.int64).reshape(len(table), -1)
+        own_bits, own_reps, own_parts, own_bands = bits[~ask], reps[~ask], parts[~ask], bands[~ask]
+        this = int(np.argmax(bands[0] == table["band"].iloc[0]))
+        found_a, found_b = [], []
+        for x, part, sketch, keys in zip(reps[ask], parts[ask], bits[ask], bands[ask], strict=True):
+            odd = np.bitwise_count(own_bits ^ sketch).sum(axis=1, dtype=np.int64)
+            first = np.argmax(own_bands == keys, axis=1) == this
+            other = own_reps[(odd <= limit) & (own_parts != part) & first]
+            found_a.append(np.minimum(other, x))
+            found_b.append(np.maximum(other, x))
+        empty = np.zeros(0, np.int64)
+        pairs = {"a": np.concatenate([empty, *found_a]), "b": np.concatenate([empty, *found_b])}
+        return pd.DataFrame(pairs)
+
+    grouped = here.unionByName(asking).groupBy("band", "i", "j")
+    return grouped.applyInPandas(close, "a long, b long")
+
+
 def confirmed(
     pairs: DataFrame, sketches: DataFrame, texts: DataFrame, width: int, percent: int
 ) -> DataFrame:
