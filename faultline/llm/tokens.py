@@ -19,9 +19,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-# Pieces (some 120 MB) and parts of pieces a worker remembers before it starts afresh.
-REMEMBERED = 700_000
-PARTS = 60_000
+# Pieces (some 150 MB) and other parts of pieces a worker remembers before it starts afresh.
+REMEMBERED = 900_000
+PARTS = 20_000
 # Texts that are Python strings at a time.
 TEXTS = 256
 
@@ -41,6 +41,14 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class PieceEncoder:
     """Ids of texts; `blanks` tells whether white space takes part in the ids."""
 
@@ -61,20 +69,32 @@ class PieceEncoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.limits = np.zeros(1 << 14, np.int64)
 
-    def _part(self, part: str, blank: bool = False) -> list[int]:
+    def _tokenize(self, part: str, blank: bool) -> list[int]:
         """Ids of one part that the splitting rule leaves whole, after one blank or not."""
-        key = " " + part if blank else part
-        known = self.parts.get(key)
+        written = part
+        if not part.isascii() or part == "\n":
+            written = part.encode().decode("latin-1").translate(self.letters)
+        if blank:
+            written = self.letters[0x20] + written
+        return [token.id for token in self.model.tokenize(written)]
+
+    def _word(self, word: str) -> list[int]:
+        """Ids of a word as it stands after one blank: a piece of its own."""
+        at = self.place.get(word)
+        if at is not None:
+            return self.ids[self.limits[at] : self.limits[at + 1]].tolist()
+        known = self.fresh.get(word)
+        if known is None:
+            known = self.fresh[word] = self._tokenize(word, self.blanks)
+        return known
+
+    def _part(self, part: str) -> list[int]:
+        """Ids of closing punctuation, a line end or a word after it."""
+        known = self.parts.get(part)
         if known is None:
-            written = part
-            if not part.isascii() or part == "\n":
-                written = part.encode().decode("latin-1").translate(self.letters)
-            if blank:
-                written = self.letters[0x20] + written
-            known = [token.id for token in self.model.tokenize(written)]
             if len(self.parts) > PARTS:
                 self.parts.clear()
-            self.parts[key] = known
+            known = self.parts[part] = self._tokenize(part, False)
         return known
 
     def _whole(self, piece: str) -> list[int]:
@@ -90,17 +110,21 @@ class PieceEncoder:
         if simple is None:
             return self._whole(" " + key if self.blanks and not line else key)
         word, end = simple.groups()
-        if not self.blanks:
-            ids = self._part(word.lower())
-        elif line:
+        if line:
             ids = self._part("\n") + self._part(word)
         else:
-            ids = self._part(word, blank=True)
+            ids = self._word(word if self.blanks else word.lower())
         return ids + self._part(end) if end else ids
 
     def _learn(self, keys: list[str]) -> None:
         known = len(self.place)
+        self.fresh: dict[str, list[int]] = {}
         new = [self._ids(key) for key in keys]
+        wanted = set(keys)
+        for word, ids in self.fresh.items():
+            if word not in wanted:
+                keys.append(word)
+                new.append(ids)
         counts = np.fromiter(map(len, new), np.int64, len(new))
         used = int(self.limits[known])
         total = used + int(counts.sum())
@@ -116,6 +140,9 @@ class PieceEncoder:
         """Keys of the pieces of a text, and those among them that are new."""
         place = self.place
         if not self.blanks:
+            # Letters up to U+00FF are lower-cased one by one, before or after the cut.
+            if "<|" not in text and _is_latin(text):
+                text = text.lower()
             keys = text.replace("\n", " ").split(" ")
             return keys, [key for key in dict.fromkeys(keys) if key not in place]
         if "\0" in text or "\1" in text:
