@@ -107,5 +107,39 @@ QUERIES = {
         op10_token_files,
     )
 }
-#: By query; see below for those that SQL can express.
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: The queries whose whole result SQL can say. The others have models, sketches or
+#: tokenizers in them; tests hold them against plain Python.
+ORACLES = {
+    "op3_near_duplicates": f"""WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws
+      FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
+        WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+        END) AS grams FROM w),
+    n AS (SELECT doc_id, len(grams) AS n FROM s),
+    x AS (SELECT doc_id, unnest(grams) AS gram FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM x a JOIN x b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(doc_id, reached) AS (SELECT doc_id, doc_id FROM n
+      UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reached = e.a)
+    SELECT r.doc_id, n.n AS n_shingles, min(reached) AS component_id,
+      r.doc_id = min(reached) AS kept
+    FROM r JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id, n.n""",
+    "op6_inner_products": """WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+      FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+    SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+    WHERE place <= 20""",
+}
