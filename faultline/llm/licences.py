@@ -41,6 +41,12 @@ def phrase(label: str, text: str) -> Template:
     return Template(label, words, (words,), 1.0, True)
 
 
+def name(label: str, text: str) -> Template:
+    """As a phrase, but not one that every scan has to report."""
+    words = tuple(text.split())
+    return Template(label, words, (words,))
+
+
 def notice(label: str, text: str, *keys: str, share: float = 0.7) -> Template:
     return Template(label, tuple(text.split()), tuple(tuple(k.split()) for k in keys), share)
 
@@ -108,7 +114,26 @@ NOTICES = (
     ),
 )
 
-TEMPLATES = PHRASES + NOTICES
+#: Names by which short lines refer to a licence (fixed values).
+NAMES = (
+    name("apache-2", "apache license 2 0"),
+    name("bsd", "bsd license"),
+    name("bsd", "bsd 2 clause"),
+    name("bsd", "bsd 3 clause"),
+    name("gpl", "gnu general public license"),
+    name("gpl", "gnu gpl"),
+    name("lgpl", "gnu lesser general public license"),
+    name("lgpl", "gnu library general public license"),
+    name("lgpl", "gnu lgpl"),
+    name("agpl", "gnu affero general public license"),
+    name("mpl", "mozilla public license"),
+    name("mpl-2", "mozilla public license version 2"),
+    name("mpl-2", "mozilla public license v 2"),
+    name("mpl-2", "mozilla public license 2 0"),
+    name("isc", "isc license"),
+)
+
+TEMPLATES = PHRASES + NAMES + NOTICES
 
 
 def vocabulary(templates: tuple[Template, ...]) -> list[str]:

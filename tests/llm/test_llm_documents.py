@@ -190,6 +190,21 @@ def test_licence_notice_needs_its_key_phrases(spark):
     assert got == {0: "mit", 1: "", 2: "mit", 3: "mit"}
 
 
+def test_licence_names_in_short_lines(spark):
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "Covered by the GNU Lesser General Public License": "lgpl",
+        "Mozilla Public License, version 2.0": "mpl,mpl-2",
+        "Mozilla Public License 1.1": "mpl",
+        "See LICENSE (3-clause BSD license).": "bsd",
+        "A general public license of GNU": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = licences.licence_report(licences.scan_licences(docs)).collect()
+    assert {r["doc_id"]: r["labels"] for r in found} == dict(enumerate(lines.values()))
+    assert {(r["n_base"], r["base_labels"]) for r in found} == {(0, "")}
+
+
 def test_packing(docs, rows, none):
     plain = Tokenizer.from_file(BYTES)
     packed = packing.pack(docs, BYTES, keep_ids=True).collect()
