@@ -2,11 +2,14 @@
 
 Templates (licence notices and phrases) are indexed by word: for each word the templates and
 positions it stands at. Document frequencies of the template words are counted over the
-whole corpus; a template's rarest word there is its anchor. In a file, every place of an
-anchor proposes the relative position at which the template would start; the other
-template words vote for a start through their postings. A start with the anchor and
-enough votes counts when the template's mandatory key phrases stand at their places.
-Work on a file follows the licence words it holds, not the number of templates.
+whole corpus. A file's own words choose, through their postings, the templates it can hold:
+those with all words of the key phrases and enough words in all. Of such a template's words
+that the file holds, the rarest in the corpus are anchors, enough of them that every wanted
+start has one at its place. Each place of an anchor proposes the relative position at which
+the template would start; a start counts when enough template words and the mandatory key
+phrases stand at their places. What a file holds does not depend on other files; their
+frequencies only keep the proposed starts few. Work on a file follows the licence words it
+holds, not the number of templates.
 """
 
 from __future__ import annotations
@@ -190,7 +193,7 @@ def document_frequencies(
 
 
 class Index:
-    """Postings of the template words, and each template's anchor by corpus frequency."""
+    """Postings of the template words, and the corpus frequencies that order a file's anchors."""
 
     def __init__(self, templates: tuple[Template, ...], frequency: Mapping[str, int], total: int):
         self.templates = templates
@@ -199,44 +202,76 @@ class Index:
         self.hashes, self.order = _hash_table(self.words)
         self.idf = np.array([math.log((total + 1) / (frequency.get(w, 0) + 1)) for w in self.words])
         self.spelled = [np.array([number[w] for w in t.words]) for t in templates]
-        self.anchors = []
-        for spelled in self.spelled:
-            place = int(np.argmax(self.idf[spelled]))
-            self.anchors.append((int(spelled[place]), place))
-        self.by_anchor: dict[int, list[int]] = {}
-        for t, (word, _) in enumerate(self.anchors):
-            self.by_anchor.setdefault(word, []).append(t)
-        #: By vocabulary number; the last place stands for all other words.
-        self.anchored = np.zeros(len(self.words) + 1, bool)
-        self.anchored[list(self.by_anchor)] = True
+        #: Least number of words that have to stand at their places.
+        self.needed = np.array([math.ceil(t.share * len(t.words) - 1e-9) for t in templates])
         self.keys = [
             [(at, np.array([number[w] for w in key])) for key in t.keys for at in _places(t.words, key)[:1]]
             for t in templates
         ]
-
-    def matches(self, numbers: np.ndarray) -> list[tuple[int, int, float]]:
+        in_keys = [{w for _, key in keys for w in key.tolist()} for keys in self.keys]
+        self.key_words = np.array([len(words) for words in in_keys])
+        #: By vocabulary number: the templates with the word, its places in each, if it is a key's.
+        postings = sorted(
+            (word, t, int(n), word in in_keys[t])
+            for t, spelled in enumerate(self.spelled)
+            for word, n in zip(*(x.tolist() for x in np.unique(spelled, return_counts=True)), strict=True)
+        )
+        columns = np.array(postings, np.int64).reshape(-1, 4).T
+        self.first = np.searchsorted(columns[0], np.arange(len(self.words) + 1))
+        self.posted, self.places, self.is_key = columns[1:]
+
+    def candidates(self, numbers: np.ndarray, cut: np.ndarray) -> dict[int, list[int]]:
+        """Templates by file: those whose key words, and enough of whose words, the file holds."""
+        owner = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+        known = numbers >= 0
+        size = len(self.words)
+        rows, words = np.divmod(np.unique(owner[known] * size + numbers[known]), max(size, 1))
+        sizes = self.first[words + 1] - self.first[words]
+        at = np.arange(int(sizes.sum())) + np.repeat(self.first[words] - (np.cumsum(sizes) - sizes), sizes)
+        count = len(self.templates)
+        pairs, which = np.unique(np.repeat(rows, sizes) * count + self.posted[at], return_inverse=True)
+        files, listed = np.divmod(pairs, max(count, 1))
+        held = np.bincount(which, self.places[at], len(pairs))
+        keys = np.bincount(which, self.is_key[at], len(pairs))
+        found: dict[int, list[int]] = {}
+        ok = (held >= self.needed[listed]) & (keys == self.key_words[listed])
+        for file, t in zip(files[ok].tolist(), listed[ok].tolist(), strict=True):
+            found.setdefault(file, []).append(t)
+        return found
+
+    def matches(self, numbers: np.ndarray, templates: list[int]) -> list[tuple[int, int, float]]:
         """(template, start word, matched share) of all places in one file, by start."""
         held = np.flatnonzero(numbers >= 0)
-        if not len(held):
-            return []
         words = numbers[held]
         found = []
-        for word in sorted(set(words.tolist()) & self.by_anchor.keys()):
-            for t in self.by_anchor[word]:
-                spelled, place = self.spelled[t], self.anchors[t][1]
-                # A start before the file's first word may hold for a notice that is cut.
-                starts = held[words == word] - place
-                votes = np.zeros(len(starts), np.float64)
-                for step, wanted in enumerate(spelled.tolist()):
-                    votes += self._at(numbers, starts + step) == wanted
-                share = votes / len(spelled)
-                ok = share >= self.templates[t].share - 1e-9
-                for at, key in self.keys[t]:
-                    for step, wanted in enumerate(key.tolist()):
-                        ok &= self._at(numbers, starts + at + step) == wanted
-                found += [(t, int(s), float(v)) for s, v in zip(starts[ok], share[ok], strict=True)]
+        for t in templates:
+            spelled = self.spelled[t]
+            starts = self._starts(t, held, words)
+            # A start before the file's first word may hold for a notice that is cut.
+            votes = np.zeros(len(starts), np.int64)
+            for step, wanted in enumerate(spelled.tolist()):
+                votes += self._at(numbers, starts + step) == wanted
+            ok = votes >= self.needed[t]
+            for at, key in self.keys[t]:
+                for step, wanted in enumerate(key.tolist()):
+                    ok &= self._at(numbers, starts + at + step) == wanted
+            share = votes / len(spelled)
+            found += [(t, int(s), float(v)) for s, v in zip(starts[ok], share[ok], strict=True)]
         return sorted(found, key=lambda x: (x[1], x[0]))
 
+    def _starts(self, t: int, held: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Starts that the file's rarest words of a template propose.
+
+        With p of the template's places open to the file's words and n needed, a start that
+        fails at p - n + 1 of them cannot have n: so many anchors let no wanted start escape.
+        """
+        spelled = self.spelled[t]
+        places = np.flatnonzero(np.isin(spelled, words))
+        spare = len(places) - int(self.needed[t])
+        rarest = places[np.argsort(-self.idf[spelled[places]], kind="stable")]
+        proposed = [held[words == spelled[place]] - place for place in rarest[: spare + 1].tolist()]
+        return np.unique(np.concatenate(proposed))
+
     @staticmethod
     def _at(numbers: np.ndarray, where: np.ndarray) -> np.ndarray:
         inside = (where >= 0) & (where < len(numbers))
@@ -281,11 +316,11 @@ def scan_licences(
             sizes, labels, starts, shares, bases = [], [], [], [], []
             for _, raw, limits in blocks(batch.column(1)):
                 numbers, cut = _numbered(raw, limits, index.hashes, index.order)
-                anchored = np.concatenate([[0], np.cumsum(index.anchored[numbers])])[cut]
-                for first, last, some in zip(
-                    cut[:-1].tolist(), cut[1:].tolist(), np.diff(anchored).tolist(), strict=True
+                found = index.candidates(numbers, cut)
+                for row, (first, last) in enumerate(
+                    zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)
                 ):
-                    hits = index.matches(numbers[first:last]) if some else []
+                    hits = index.matches(numbers[first:last], found[row]) if row in found else []
                     sizes.append(last - first)
                     labels.append([templates[t].label for t, _, _ in hits])
                     starts.append([s for _, s, _ in hits])

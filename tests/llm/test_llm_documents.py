@@ -205,6 +205,51 @@ def test_licence_names_in_short_lines(spark):
     assert {(r["n_base"], r["base_labels"]) for r in found} == {(0, "")}
 
 
+def test_licence_notice_without_its_rarest_word(spark):
+    """Whatever word of a notice no document holds, the rest of it counts."""
+    apache = next(t for t in licences.NOTICES if t.label == "apache-2")
+    key = set(apache.keys[0])
+    texts = [" ".join(apache.words).replace("http", "https")]
+    texts += [" ".join("other" if w == lost else w for w in apache.words) for lost in set(apache.words) - key]
+    texts += [" ".join(w for w in apache.words if w != "http"), " ".join(apache.words[6:])]
+    one_by_one = [
+        licences.licence_report(licences.scan_licences(spark.createDataFrame([(0, t)], "doc_id long, text string")))
+        for t in (texts[0], texts[-2])
+    ]
+    assert [r.first()["labels"] for r in one_by_one] == ["apache-2"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = licences.licence_report(licences.scan_licences(docs)).collect()
+    assert {r["doc_id"]: r["labels"] for r in found} == dict.fromkeys(range(len(texts)), "apache-2")
+
+
+def test_licence_starts_are_those_of_trying_all():
+    draw = np.random.default_rng(5)
+    letters = list("abcdefgh")
+    made = [tuple(draw.choice(letters, n)) for n in (1, 3, 6, 9, 10, 12)]
+    made = [licences.Template(f"t{i}", w, (w[i // 2 : i // 2 + 1],), 0.6) for i, w in enumerate(made)]
+    made += [licences.Template("none", tuple("abcab"), (), 0.5), licences.phrase("all", "b c d")]
+    for frequency in ({}, {"a": 9, "b": 5, "c": 1}):
+        index = licences.Index(tuple(made), frequency, 9)
+        files = [draw.integers(-1, len(index.words), draw.integers(0, 40)) for _ in range(80)]
+        cut = np.concatenate([[0], np.cumsum([len(f) for f in files])])
+        chosen = index.candidates(np.concatenate(files), cut)
+        some = 0
+        for row, file in enumerate(files):
+            words = [index.words[i] if i >= 0 else None for i in file]
+            wanted = []
+            for t, template in enumerate(made):
+                for start in range(-len(template.words), len(words) + 1):
+                    stands = [0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(template.words)]
+                    keys = [licences._places(template.words, k)[0] + i for k in template.keys for i in range(len(k))]
+                    share = sum(stands) / len(stands)
+                    if share >= template.share - 1e-9 and all(stands[i] for i in keys):
+                        wanted.append((t, start, share))
+            some += len(wanted)
+            got = index.matches(file, chosen[row]) if row in chosen else []
+            assert got == sorted(wanted, key=lambda x: (x[1], x[0]))
+        assert some > 100
+
+
 def test_packing(docs, rows, none):
     plain = Tokenizer.from_file(BYTES)
     packed = packing.pack(docs, BYTES, keep_ids=True).collect()
