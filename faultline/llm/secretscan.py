@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and character Markov models of random strings.
 
 Two first-order Markov models over the letters of tokens are trained from labelled
-samples: one of random strings (keys, tokens, digests), one of ordinary identifiers and
-words. A long token with letters and digits is reported when the logarithm of its likelihood
+samples of comparable sizes: one of random strings (keys, tokens and digests that the fixed
+patterns find, and strings drawn from the usual alphabets), one of ordinary words and the
+identifiers made of them. A long token is reported when the logarithm of its likelihood
 ratio under the two models passes a threshold per letter. Tokens that a fixed pattern already
 covers are not reported twice. Only DataFrame and SQL functions are used.
 """
@@ -34,6 +35,26 @@ SMOOTHING = 64.0
 THRESHOLD = 1.5
 #: Documents that labelled samples are taken from, at most about.
 RANDOM_DOCS, ORDINARY_DOCS = 50_000, 4_000
+#: Alphabets of keys, tokens and digests; the random class draws DRAWN strings from each.
+DIGITS, SMALL = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = (
+    DIGITS + "abcdef",
+    DIGITS + "ABCDEF",
+    SMALL.upper() + "234567",
+    SMALL + "234567",
+    DIGITS + SMALL,
+    DIGITS + SMALL.upper(),
+    DIGITS + SMALL + SMALL.upper(),
+    DIGITS + SMALL + SMALL.upper() + "+/",
+    DIGITS + SMALL + SMALL.upper() + "-_",
+)
+DRAWN, DRAWN_LETTERS = 2_000, 40
+#: Words from this length on are what the models have to judge, so they have no label.
+UNLABELLED = 20
+#: Words that are joined to one identifier.
+JOINED = 8
+#: A short part four times or more in a row says nothing about randomness after its first time.
+REPEATED = r"(.{1,8}?)\1{3,}"
 MASK = "[SECRET]"
 
 
@@ -72,34 +93,85 @@ def _base(text: Column) -> Column:
     )
 
 
-def _sampled(docs: DataFrame, rows: int, seed: int) -> DataFrame:
-    total = docs.count()
-    if total <= rows:
-        return docs
-    limit = int((1 << 30) * rows / total)
-    return docs.where(F.pmod(F.xxhash64(F.lit(seed), "key", F.length("text")), F.lit(1 << 30)) < limit)
+def _sampled(rows: DataFrame, most: int, draw: Column) -> DataFrame:
+    total = rows.count()
+    if total <= most:
+        return rows
+    return rows.where(F.pmod(draw, F.lit(1 << 30)) < int((1 << 30) * most / total))
+
+
+def _drawn(docs: DataFrame, seed: int) -> DataFrame:
+    """(token): DRAWN hash-random strings of each alphabet."""
+    alphabet = F.element_at(
+        F.array(*map(F.lit, ALPHABETS)), (F.col("id") % len(ALPHABETS) + 1).cast("int")
+    )
+
+    def letter(i: Column) -> Column:
+        place = F.pmod(F.xxhash64(F.lit(seed), "id", i), F.length("alphabet"))
+        return F.substring("alphabet", (place + 1).cast("int"), F.lit(1))
+
+    letters = F.transform(F.sequence(F.lit(1), F.lit(DRAWN_LETTERS)), letter)
+    numbers = docs.sparkSession.range(DRAWN * len(ALPHABETS)).select("id", alphabet.alias("alphabet"))
+    return numbers.select(F.array_join(letters, "").alias("token"))
+
+
+def _identifiers(words: Column) -> Column:
+    """Words joined to identifiers in the usual ways, with numbers between them."""
+
+    def piece(word: Column, i: Column) -> Column:
+        number = F.pmod(F.xxhash64(word), F.lit(1 << 31))
+        ways = F.array(
+            F.concat(F.lit("-"), word),
+            F.concat(F.lit("_"), word),
+            F.concat(F.lit("/"), word),
+            F.concat(F.lit("="), word),
+            F.initcap(word),
+            F.concat((number % 10_000).cast("string"), F.lit("-")),
+            F.concat(F.lit("_"), F.upper(word)),
+            F.concat(F.lit("/"), number.cast("string")),
+        )
+        return F.element_at(ways, (i + 1).cast("int"))
+
+    # Without a word, the one identifier is empty.
+    return F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(JOINED)),
+        lambda first: F.array_join(F.transform(F.slice(words, first, JOINED), piece), ""),
+    )
 
 
 def labelled_samples(
     docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 19
 ) -> DataFrame:
-    """(token, random): strings that the fixed patterns find, and other long words.
+    """(token, random): random strings, and ordinary words and identifiers.
 
-    Taken from a hash sample of about RANDOM_DOCS and ORDINARY_DOCS documents.
+    Random are the first letters of about DRAWN distinct strings that the fixed patterns find,
+    and as many drawn from each of ALPHABETS, so neither the corpus nor one kind of
+    secret in it outweighs the others. Ordinary are the other words of fewer than UNLABELLED
+    letters, once as they stand and once joined to identifiers. Documents are a
+    hash sample of about RANDOM_DOCS and ORDINARY_DOCS.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    hits = _sampled(rows, RANDOM_DOCS, seed).select(F.explode(_base(F.col("text"))).alias("span"))
+
+    def draw(seed: int) -> Column:
+        return F.xxhash64(F.lit(seed), "key", F.length("text"))
+
+    hits = _sampled(rows, RANDOM_DOCS, draw(seed)).select(F.explode(_base(F.col("text"))).alias("span"))
     value = F.when(F.col("span.kind") == KINDS[0], F.regexp_extract("span.hit", ASSIGN, 2)).otherwise(
         F.col("span.hit")
     )
+    found = hits.select(F.substring(value, 1, DRAWN_LETTERS).alias("token")).distinct()
+    random = _sampled(found, DRAWN, F.xxhash64(F.lit(seed), "token")).union(_drawn(docs, seed))
     bare = F.regexp_replace(
         F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " "
     )
-    words = _sampled(rows, ORDINARY_DOCS, seed + 1).select(
-        F.explode(F.regexp_extract_all(bare, F.lit(ORDINARY), F.lit(0))).alias("token")
+    words = _sampled(rows, ORDINARY_DOCS, draw(seed + 1)).select(
+        F.filter(
+            F.regexp_extract_all(bare, F.lit(ORDINARY), F.lit(0)), lambda w: F.length(w) < UNLABELLED
+        ).alias("words")
     )
-    return hits.select(value.alias("token"), F.lit(True).alias("random")).union(
-        words.select("token", F.lit(False).alias("random"))
+    ordinary = words.select(F.explode(F.concat("words", _identifiers(F.col("words")))).alias("token"))
+    return random.select("token", F.lit(True).alias("random")).union(
+        ordinary.select("token", F.lit(False).alias("random"))
     )
 
 
@@ -170,7 +242,7 @@ def scan_secrets(
     """(key, base, added [, kept]) of every row: arrays of start, stop, kind, hit by code point.
 
     `base` has the matches of the fixed patterns, `added` the tokens that the models call
-    random, without those that a base span touches. A null text is empty and has neither.
+    random, without those that a base span touches; parts that only repeat count for nothing. A null text is empty and has neither.
     Repeated rows are scanned one by one. Columns other than key and text are read only as
     the struct `kept` of the columns in `keep`.
     """
@@ -185,8 +257,7 @@ def scan_secrets(
         touched = F.exists(
             "base", lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"])
         )
-        mixed = span["hit"].rlike("[0-9]") & span["hit"].rlike("[A-Za-z]")
-        return ~touched & mixed
+        return ~touched
 
     judged = found.select("key", "kept", "base", F.filter("long", apart).alias("long"))
     return judged.select(
@@ -195,7 +266,8 @@ def scan_secrets(
         "base",
         F.filter(
             "long",
-            lambda s: log_ratio(s["hit"], model) >= threshold * (F.char_length(s["hit"]) - 1),
+            lambda s: log_ratio(F.regexp_replace(s["hit"], REPEATED, "$1"), model)
+            >= threshold * (F.char_length(s["hit"]) - 1),
         ).alias("added"),
     )
 

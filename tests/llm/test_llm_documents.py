@@ -138,6 +138,47 @@ def test_secrets(docs, rows, none, markov):
     assert len(secretscan.train(secretscan.labelled_samples(none)).split(",")) == 6400
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_secrets_of_every_alphabet_are_found(spark, sf):
+    small, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {
+        "upper hex": (digits + "ABCDEF", 40),
+        "upper base32": (small.upper() + "234567", 40),
+        "lower base32": (small + "234567", 40),
+        "base36": (digits + small, 40),
+        "upper base36": (digits + small.upper(), 40),
+        "base62": (digits + small + small.upper(), 24),
+        "base64": (digits + small + small.upper() + "+/", 40),
+        "letters": (small + small.upper(), 40),
+    }
+    draw = np.random.default_rng(11)
+    rows = [
+        (kind, "see " + "".join(draw.choice(list(letters), n)) + " here")
+        for kind, (letters, n) in alphabets.items()
+        for _ in range(200)
+    ]
+    plain = "x" * 90, "xy" * 20, "-=" * 20, "src/main/stand_there", "MAX_THEIR_WHICH_OTHER_COUNT", "2024-01-15-then-them"
+    rows += [("plain", text) for text in plain]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    model = secretscan.train(secretscan.labelled_samples(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")))
+    scanned = secretscan.scan_secrets(docs, model).where("size(added) + size(base) > 0")
+    found = Counter(r["doc_id"] for r in scanned.collect())
+    assert found["plain"] == 0
+    assert {kind: found[kind] for kind in alphabets if found[kind] < 190} == {}
+
+
+def test_labelled_samples_are_of_comparable_sizes(spark):
+    """Many secrets of one kind, or one secret many times, do not fill the random class."""
+    lines = [(i, f"alpha beta gammas token = {i:040x} deltas") for i in range(20_000)]
+    docs = spark.createDataFrame(lines, "doc_id long, text string").union(
+        spark.range(5_000).selectExpr("id", "'token = 0123456789abcdef0123'")
+    )
+    samples = secretscan.labelled_samples(docs).where("random")
+    total = samples.count()
+    assert total - secretscan.DRAWN * len(secretscan.ALPHABETS) < 1.2 * secretscan.DRAWN
+    assert samples.where("token like '%0123456789abcdef0123%'").count() <= 1
+
+
 def test_secret_log_ratio_is_the_models_ratio(spark):
     samples = [("q9x7z8k2", True), ("7q8x9z2k", True), ("banana", False), ("bandana", False)]
     model = secretscan.train(spark.createDataFrame(samples, "token string, random boolean"))
