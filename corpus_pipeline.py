@@ -11,18 +11,26 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faultline.functions.settle import checkpoint_dir
 from faultline.llm import langid, mixing, neardup, packing, secretscan
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: With fewer letters, even a clean text may be no more like its language than noise.
+LETTERS = 20
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out texts without a letter, or unlike every language that the labels show."""
+    """Leaves out texts without a letter, or unlike every language that the labels show.
+
+    Texts with a letter, but fewer than LETTERS, cannot be told apart by their score and stay.
+    """
     model = langid.train(docs, sample_key="doc_id")
     found = langid.predict(docs, model, whole_rows=True)
-    return found.where((found["lang_pred"] != langid.UNKNOWN) & (found["score"] > 0)).select("row.*")
+    short = F.length(F.regexp_replace("row.text", r"\P{L}", "")) < LETTERS
+    known = (found["lang_pred"] != langid.UNKNOWN) & (short | (found["score"] > langid.NOISE))
+    return found.where(known).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

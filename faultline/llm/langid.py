@@ -30,6 +30,8 @@ BLOCK_CHARS = 300_000
 #: Training rows per language, at most about; smaller languages are used whole.
 TRAIN_ROWS = 8_000
 UNKNOWN = "und"
+#: Cosines that texts without a common trigram stay below: four deviations of their noise.
+NOISE = 4 / DIMENSIONS**0.5
 
 
 def letter_vectors(codes: np.ndarray, dimensions: int, seed: int) -> np.ndarray:

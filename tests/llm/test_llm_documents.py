@@ -468,6 +468,21 @@ def test_plan_of_packing_is_optimal_on_small_instances():
         assert all(sum(p.lengths) <= capacity for p in plan.patterns)
 
 
+def test_pipeline_leaves_out_unseen_scripts_and_keeps_short_texts(spark):
+    import corpus_pipeline
+
+    draw = np.random.default_rng(2)
+    docs = [r[:3] for r in tables.documents(spark).where("doc_id < 60 AND doc_id <> 11").collect()]
+    for i in range(60):
+        first, letters = ((0x430, 32), (0x3B1, 25), (0x4E00, 2000))[i % 3]
+        words = [[chr(first + x) for x in draw.integers(0, letters, 6)] for _ in range(40)]
+        docs.append((1000 + i, " ".join(map("".join, words)), None))
+    docs += [(2000 + i, t, None) for i, t in enumerate(tables.EN + tables.DE + tables.FR + ["which would, there about other"])]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, table, "").collect()}
+    assert kept == {d for d, _, _ in docs if not 1000 <= d < 2000}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
