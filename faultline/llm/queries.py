@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from faultline.functions.settle import checkpoint_dir
 from faultline.llm import (
+    codes,
     curves,
+    dialogues,
     langid,
     licences,
     mixing,
@@ -92,6 +94,14 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return pfor.read_tokens(spark, path)
 
 
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return dialogues.repaired_report(_table(spark, sf, "conversations"))
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return codes.code_report(_table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     run.__name__: run
     for run in (
@@ -105,6 +115,8 @@ QUERIES = {
         op8_mixing,
         op9_quality,
         op10_token_files,
+        op11_conversation_repair,
+        op13_vector_codes,
     )
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
