@@ -18,6 +18,7 @@ from faultline.llm import (
     mixing,
     mtree,
     neardup,
+    ngramjoin,
     packing,
     pfor,
     quality,
@@ -98,6 +99,10 @@ def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     return dialogues.repaired_report(_table(spark, sf, "conversations"))
 
 
+def op12_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngramjoin.jaccard_groups(_table(spark, sf, "documents"), width=3, percent=90)
+
+
 def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     return codes.code_report(_table(spark, sf, "embeddings"))
 
@@ -116,34 +121,72 @@ QUERIES = {
         op9_quality,
         op10_token_files,
         op11_conversation_repair,
+        op12_ngram_join,
         op13_vector_codes,
     )
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: The queries whose whole result SQL can say. The others have models, sketches or
-#: tokenizers in them; tests hold them against plain Python.
-ORACLES = {
-    "op3_near_duplicates": f"""WITH RECURSIVE w AS (
+
+def _groups(width: int, percent: int, kept: bool) -> str:
+    """Components of documents whose sets of word n-grams overlap enough, from all pairs."""
+    last = ", r.doc_id = min(reached) AS kept" if kept else ""
+    return f"""WITH RECURSIVE w AS (
       SELECT doc_id, regexp_extract_all(
         translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws
       FROM documents),
     s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
-        WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-        ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+        WHEN len(ws) < {width} THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - {width - 2}),
+          lambda i: array_to_string(ws[i:i + {width - 1}], ' '))
         END) AS grams FROM w),
     n AS (SELECT doc_id, len(grams) AS n FROM s),
     x AS (SELECT doc_id, unnest(grams) AS gram FROM s),
     p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
       FROM x a JOIN x b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
     l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-      WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+      WHERE 100 * c >= {percent} * (na.n + nb.n - c)),
     e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
     r(doc_id, reached) AS (SELECT doc_id, doc_id FROM n
       UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reached = e.a)
-    SELECT r.doc_id, n.n AS n_shingles, min(reached) AS component_id,
-      r.doc_id = min(reached) AS kept
-    FROM r JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id, n.n""",
+    SELECT r.doc_id, n.n AS n_shingles, min(reached) AS component_id{last}
+    FROM r JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id, n.n"""
+
+
+def _codes() -> str:
+    """Four rounds over four codebooks of 256 entries, every part against every entry."""
+    steps = ["""v AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+      list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+      FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+    """p AS (SELECT r, part, e[part * len(e) // 4 + 1:(part + 1) * len(e) // 4] AS x
+      FROM v, (SELECT unnest(range(4)) AS part))""",
+    "c0 AS (SELECT part, r - 1 AS entry, x FROM p WHERE r <= 256)"]
+    for i in range(5):
+        steps.append(f"""a{i} AS (SELECT r, p.part, min({{'d': list_dot_product(p.x, p.x)
+        - 2 * list_dot_product(p.x, c.x) + list_dot_product(c.x, c.x), 'e': entry}}) AS best
+      FROM p JOIN c{i} c ON p.part = c.part GROUP BY r, p.part)""")
+        if i < 4:
+            steps.append(f"""m{i} AS (SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY k) AS x
+      FROM (SELECT part, entry, k, CAST(sum(value) AS BIGINT) AS s, count(*) AS n
+        FROM (SELECT p.part, a.best.e AS entry, unnest(p.x) AS value, unnest(range(len(p.x))) AS k
+          FROM p JOIN a{i} a ON p.r = a.r AND p.part = a.part)
+        GROUP BY part, entry, k) GROUP BY part, entry),
+    c{i + 1} AS (SELECT part, entry, coalesce(m.x, c.x) AS x
+      FROM c{i} c LEFT JOIN m{i} m USING (part, entry))""")
+    return f"""WITH {", ".join(steps)},
+    t AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code,
+        CAST(sum(best.d) AS BIGINT) AS error FROM a4 GROUP BY r),
+    h AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda y: CAST(y AS BIGINT)), ','),
+        ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c4)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+      codebooks_sha256 FROM v JOIN t USING (r), h"""
+
+
+#: The queries whose whole result SQL can say. The others have models, sketches or
+#: tokenizers in them; tests hold them against plain Python.
+ORACLES = {
+    "op3_near_duplicates": _groups(4, 80, kept=True),
     "op6_inner_products": """WITH v AS (
       SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
       FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
@@ -154,4 +197,6 @@ ORACLES = {
     SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
     WHERE place <= 20""",
+    "op12_ngram_join": _groups(3, 90, kept=False),
+    "op13_vector_codes": _codes(),
 }
