@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from faultline.functions.settle import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
-WORD_WITH_GAP = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A source gives at most this many times its words.
 MOST = 3
@@ -185,8 +184,11 @@ def mixed(
 ) -> DataFrame:
     """The rows of the mix with the columns of `docs`, each as often as it is taken.
 
-    The document at a source's cut comes once more with its first words only. Documents
-    that the mix does not take, and those without a word, are left out.
+    The document at a source's cut is taken whole once more if at least half of its words are
+    within the budget, else not at all; no text is cut. Documents that the mix does not take
+    so, and those without a word (null or empty texts), are left out. Rows with a null or repeated key
+    count each for themselves; a null source is a source. An empty table stays empty.
+    Columns keep their names, whatever they are.
     """
     plan = budgets(settle(_slim(docs, key, text, source, seed)), weights, most)
     whole = docs.select(
@@ -196,23 +198,6 @@ def mixed(
         words_of(text).alias("size"),
     ).withColumn("draw", _draw(seed))
     taken = _with_taken(whole, plan).where("taken > 0")
-    copies = F.floor(F.col("taken") / F.col("size"))
-    rest = (F.col("taken") - copies * F.col("size")).cast("int")
-    sizes = F.concat(
-        F.array_repeat(F.lit(-1), copies.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array())
-    )
-    begin = F.array_join(
-        F.slice(F.regexp_extract_all(f"row.{text}", F.lit(WORD_WITH_GAP), F.lit(0)), 1, F.col("words")), ""
-    )
-    repeated = taken.select("row", F.explode(sizes).alias("words"))
-    columns = [
-        F.when(F.col("words") < 0, F.col(f"row.{c}")).otherwise(begin).alias(c)
-        if c == text
-        else F.col(f"row.{c}")
-        for c in docs.columns
-    ]
-    found = repeated.select(*columns)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        found = found.withColumn("n_chars", F.char_length(text).cast(kind))
-    return found.select(*docs.columns)
+    copies = F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2))
+    repeated = taken.select("row", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("copy"))
+    return repeated.select("row.*")

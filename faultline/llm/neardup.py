@@ -45,6 +45,9 @@ SKETCH_BITS = 512
 #: How far below the limit a sketch estimate may lie: five to six standard deviations.
 MARGIN = 0.2
 CHUNK = 1 << 14
+WORD = r"[^\x20\x09-\x0D]"
+#: Up to so many repeated keys (8 MB) are sent to all tasks; more are joined by shuffle.
+SENT_KEYS = 1_000_000
 #: Bands with more members than this compare fine sketches, in blocks of so many members.
 CROWD, BLOCK = 8, 256
 FINE_SAMPLES, FINE_BITS, FINE_MARGIN = 4096, 4096, 0.05
@@ -213,27 +216,46 @@ def one_of_each_group(
     width: int = 5,
     percent: int = 80,
 ) -> DataFrame:
-    """The rows of `docs` with the smallest key of each group; all rows without a key.
+    """One row of `docs` for each group, and every row without words or without a key.
 
-    Of rows that repeat a kept key, the one with the smallest text stays.
+    The row with the smallest key of a group stays. Rows that repeat a key with unlike texts are
+    documents of their own, so each stays unless its own group has a smaller key; of rows with
+    equal key and text one stays. Columns keep their names, whatever they are; an empty table
+    stays empty.
     """
-    found = near_duplicates(docs, key, text, width=width, percent=percent)
-    kept = settle(
-        found.where(F.col("kept") & F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("kept_key"))
-        .agg(F.count("*").alias("copies"))
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{key}`").cast("long").alias("id"),
+        F.col(f"`{text}`").alias("text"),
     )
-
-    def of(keys: DataFrame) -> DataFrame:
-        return docs.join(keys, F.col(key) == F.col("kept_key"), "left_semi")
-
-    single = of(kept.where("copies = 1")).union(docs.where(F.col(key).isNull()))
-    repeated = kept.where("copies > 1")
-    if repeated.isEmpty():
-        return single
-    rows = of(repeated).select(F.struct(*docs.columns).alias("row"))
-    first = rows.groupBy(f"row.{key}").agg(F.min_by("row", F.struct(f"row.{text}")).alias("row"))
-    return single.union(first.select("row.*"))
+    ids = held.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows"))
+    repeated = settle(ids.where("rows > 1").select(F.col("id").alias("own")))
+    unlike = repeated.count()
+    own = F.col("id")
+    if unlike:
+        # A repeated key is no name of a row; key and text together are.
+        many = F.broadcast(repeated) if unlike <= SENT_KEYS else repeated
+        held = held.join(many, held["id"] == many["own"], "left")
+        own = F.when(F.col("own").isNotNull(), F.xxhash64("id", "text")).otherwise(F.col("id"))
+    held = held.withColumn("name", own)
+    found = near_duplicates(held.select("name", "text"), "name", "text", width=width, percent=percent)
+    if not unlike:
+        winners = found.where("kept AND name IS NOT NULL").select(F.col("name").alias("winner"))
+        return held.join(winners, F.col("name") == F.col("winner"), "left_semi").union(
+            held.where("name IS NULL")
+        ).select("row.*")
+    worded = found.where("n_shingles > 0 AND name IS NOT NULL").select("name", "component_id").distinct()
+    keys = held.where("id IS NOT NULL").select(F.col("name").alias("named"), "id").distinct()
+    winners = settle(
+        worded.join(keys, F.col("name") == F.col("named"))
+        .groupBy("component_id")
+        .agg(F.min(F.struct("id", "name"))["name"].alias("winner"))
+    )
+    empty = F.coalesce(F.col("id").isNull() | ~F.coalesce("text", F.lit("")).rlike(WORD), F.lit(True))
+    kept = held.where(~empty).join(winners, F.col("name") == F.col("winner"), "left_semi")
+    alone = kept.where("own IS NULL").select("row")
+    one = kept.where("own IS NOT NULL").groupBy("name").agg(F.first("row").alias("row")).select("row")
+    return alone.union(one).union(held.where(empty).select("row")).select("row.*")
 
 
 def _links(first: DataFrame, width: int, percent: int) -> DataFrame:
