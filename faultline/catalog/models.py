@@ -15,6 +15,7 @@ from faultline.catalog import sql
 from faultline.catalog.sql import shown
 from faultline.operators import importance, models
 from faultline.operators.artifact import file_digests
+from faultline.operators.boosting import LeafwiseBoosting
 from faultline.operators.splits import stratified_split as split_table
 from faultline.plans import workflows
 from faultline.functions.settle import checkpoint_dir, settle
@@ -62,6 +63,72 @@ for _query, _model in (
     )(_train(_model))
 
 
+#: Numeric features of the orders in their order in the vector; one-hot levels follow them.
+_NUMBERS = [f for f in b.ORDERS.numeric]
+_ROOT = f"""WITH {sql.ORDERS}, {sql.split('t', 'o_orderkey', 'at_risk')},
+train AS (SELECT t.* FROM t JOIN parts USING (o_orderkey) WHERE split = 'train'),
+c AS (SELECT at_risk, count(*) AS n, sum(count(*)) OVER () AS total FROM train GROUP BY at_risk),
+levels AS (
+  SELECT 0 AS kind, o_orderpriority AS level FROM train WHERE o_orderpriority IS NOT NULL
+  UNION SELECT 1, o_orderstatus FROM train WHERE o_orderstatus IS NOT NULL),
+hot AS (SELECT *, {len(_NUMBERS)} - 1 + row_number() OVER (ORDER BY kind, level) AS feature FROM levels),
+cells AS (
+  {" UNION ALL ".join(f"SELECT o_orderkey, at_risk, {i} AS feature, {f} AS x FROM train" for i, f in enumerate(_NUMBERS))}
+  UNION ALL SELECT o_orderkey, at_risk, feature,
+    CAST(coalesce(CASE kind WHEN 0 THEN o_orderpriority ELSE o_orderstatus END = level, false) AS DOUBLE)
+  FROM train, hot),
+g AS (
+  SELECT feature, x, total / (2.0 * n) * (0.5 - at_risk) AS g, total / (2.0 * n) * 0.25 AS h
+  FROM cells JOIN c USING (at_risk)),
+placed AS (
+  SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) AS place,
+    count(*) OVER (PARTITION BY feature) AS n FROM g WHERE x IS NOT NULL),
+edges AS (
+  SELECT DISTINCT feature, x AS edge FROM placed, range(1, 255) r(i)
+  WHERE place = greatest(CAST(ceil(i / 255.0 * n) AS BIGINT), 1)),
+sides AS (
+  SELECT e.feature, edge, missing_left, sum(g) AS g_all, sum(h) AS h_all, count(*) AS n_all,
+    sum(g) FILTER (coalesce(x <= edge, missing_left)) AS g_left,
+    sum(h) FILTER (coalesce(x <= edge, missing_left)) AS h_left,
+    count(*) FILTER (coalesce(x <= edge, missing_left)) AS n_left
+  FROM edges e JOIN g USING (feature), (VALUES (false), (true)) m(missing_left)
+  GROUP BY e.feature, edge, missing_left),
+gains AS (
+  SELECT *, g_left * g_left / h_left + (g_all - g_left) * (g_all - g_left) / (h_all - h_left)
+    - g_all * g_all / h_all AS gain
+  FROM sides WHERE n_left >= 20 AND n_all - n_left >= 20)"""
+
+
+@query(
+    "train_hgb",
+    f"""{_ROOT} SELECT CAST(feature AS BIGINT) AS feature, round(edge, 6) AS split_limit,
+      round(gain, 3) AS gain, n_left AS left_rows, n_all AS rows
+    FROM gains ORDER BY round(gain, 6) DESC, feature, edge, missing_left LIMIT 1""",
+)
+def train_hgb(spark, sf):
+    """The first split of the first leaf-wise tree, with missing values as they are."""
+    table = split_table(b.orders_table(spark, sf), "o_orderkey", "at_risk")
+    pipeline = models.fit_model(
+        models.BOOSTING,
+        table.where("split = 'train'"),
+        b.ORDERS,
+        {models.BOOSTING: lambda weight_sum: LeafwiseBoosting(maxIter=1, earlyStopping="off")},
+    )
+    nodes = spark.createDataFrame(
+        pipeline.stages[-1].nodes(),
+        "tree long, node long, feature long, split_limit double, missing_left boolean, l long, r long,"
+        " gain double, value double, rows long",
+    )
+    left = F.max(F.when(F.col("node") == 1, F.col("rows")))
+    return shown(
+        nodes.groupBy("tree").agg(
+            *[F.max(F.when(F.col("node") == 0, F.col(c))).alias(c) for c in ("feature", "split_limit", "gain", "rows")],
+            left.alias("left_rows"),
+        ).drop("tree"),
+        gain=3,
+    )
+
+
 @query(
     "model_comparison",
     f"""WITH {_PARTS}, n AS (SELECT count(*) FILTER (label = 0) AS actual_0,

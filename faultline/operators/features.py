@@ -137,6 +137,36 @@ def preparation(spec: DatasetSpec, fills: Mapping[str, float] | None = None) ->
     return Pipeline(stages=stages)
 
 
+def native_preparation(spec: DatasetSpec) -> Pipeline:
+    """Assemble for trees that take missing values: NaN numbers, no scaling, one-hot levels.
+
+    Unknown and missing categories become all zeros, as in ``preparation``.
+    """
+    n, c = len(spec.numeric), len(spec.categorical)
+    numbers = [
+        f"coalesce(CAST(`{f}` AS DOUBLE), double('NaN')) AS _f{i}" for i, f in enumerate(spec.numeric)
+    ]
+    levels = [f"CAST(`{f}` AS STRING) AS _c{i}" for i, f in enumerate(spec.categorical)]
+    stages = [SQLTransformer(statement=f"SELECT *, {', '.join([*numbers, *levels])} FROM __THIS__")]
+    if c:
+        stages += [
+            StringIndexer(
+                inputCols=[f"_c{i}" for i in range(c)],
+                outputCols=[f"_i{i}" for i in range(c)],
+                handleInvalid="keep",
+                stringOrderType="alphabetAsc",
+            ),
+            OneHotEncoder(
+                inputCols=[f"_i{i}" for i in range(c)],
+                outputCols=[f"_o{i}" for i in range(c)],
+                dropLast=True,
+            ),
+        ]
+    parts = [*[f"_f{i}" for i in range(n)], *[f"_o{i}" for i in range(c)]]
+    stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep"))
+    return Pipeline(stages=stages)
+
+
 def derived_features(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
     """Add features computed from others, given as SQL expressions."""
     return df.withColumns({name: F.expr(e) for name, e in expressions.items()})

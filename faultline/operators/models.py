@@ -9,7 +9,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
@@ -18,8 +17,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.columns import col, names_of, number
+from faultline.operators.boosting import LeafwiseBoosting
 from faultline.operators.checks import FINAL_MODEL
-from faultline.operators.features import balanced_weights, preparation, training_medians
+from faultline.operators.features import (
+    balanced_weights,
+    native_preparation,
+    preparation,
+    training_medians,
+)
 from faultline.spec import SEED, DatasetSpec
 
 PRIOR = "dummy_prior"
@@ -55,15 +60,7 @@ def _forest(weight_sum: float) -> Estimator:
 
 
 def _boosting(weight_sum: float) -> Estimator:
-    return GBTClassifier(
-        labelCol="_label",
-        weightCol="weight",
-        maxIter=100,
-        stepSize=0.1,
-        maxDepth=5,
-        maxBins=256,
-        seed=SEED,
-    )
+    return LeafwiseBoosting()
 
 
 # name -> function of the weight sum that gives a fresh, unfitted classifier
@@ -91,7 +88,14 @@ def build_pipeline(
 ) -> Pipeline:
     """A fresh, unfitted pipeline with its own preparation."""
     require_model(name, models)
-    return Pipeline(stages=[preparation(spec), models[name](weight_sum)])
+    estimator = models[name](weight_sum)
+    prepare = native_preparation if takes_missing(estimator) else preparation
+    return Pipeline(stages=[prepare(spec), estimator])
+
+
+def takes_missing(estimator: Estimator) -> bool:
+    """Whether missing values reach the estimator as they are."""
+    return isinstance(estimator, LeafwiseBoosting)
 
 
 def fit_models(
@@ -101,35 +105,42 @@ def fit_models(
 ) -> dict[str, tuple[PipelineModel, float]]:
     """Fit every model on the training rows: {name: (pipeline model, seconds)}.
 
-    The seconds of each model hold the preparation, as if it were fitted alone.
-    The preparation depends on the rows only, so it is fitted once. Its steps read the
-    training rows several times and the solvers read the vectors many times: both are
-    cached with spill to disk, the rows only until the vectors exist.
+    The seconds of each model hold its preparation, as if it were fitted alone.
+    The preparation depends on the rows only, so each of the two kinds (imputed and scaled,
+    or with missing values as they are) is fitted once. Its steps read the training rows several
+    times and the solvers read the vectors many times: both are cached with spill to disk.
     """
     columns = [col(c) for c in (*spec.features, spec.target)]
-    started = time.perf_counter()
     rows = train.select(*columns).persist()
     weighted = balanced_weights(rows, spec.target).withColumn("_label", number(spec.target))
-    prepared = preparation(spec, training_medians(rows, spec)).fit(weighted)
     # The solvers run many short jobs: no more tasks than the rows are worth.
     tasks = max(1, -(-rows.count() // ROWS_PER_TASK))
-    vectors = (
-        prepared.transform(weighted).select("_label", "weight", "features").coalesce(tasks).persist()
-    )
+    weight_sum = weighted.agg(F.sum("weight")).first()[0]
+    estimators = {name: make(weight_sum) for name, make in models.items()}
+    fitted = {}
     try:
-        weight_sum = vectors.agg(F.sum("weight")).first()[0]
-        rows.unpersist()
-        preparing = time.perf_counter() - started
-        fitted = {}
-        for name, make in models.items():
+        for native in (False, True):
+            names = [n for n, e in estimators.items() if takes_missing(e) == native]
+            if not names:
+                continue
             started = time.perf_counter()
-            model = make(weight_sum).fit(vectors)
-            seconds = preparing + time.perf_counter() - started
-            fitted[name] = (PipelineModel(stages=[prepared, model]), seconds)
-        return fitted
+            prepare = native_preparation(spec) if native else preparation(spec, training_medians(rows, spec))
+            prepared = prepare.fit(weighted)
+            vectors = prepared.transform(weighted).select("_label", "weight", "features")
+            vectors = vectors.coalesce(tasks).persist()
+            try:
+                vectors.count()
+                preparing = time.perf_counter() - started
+                for name in names:
+                    started = time.perf_counter()
+                    model = estimators[name].fit(vectors)
+                    seconds = preparing + time.perf_counter() - started
+                    fitted[name] = (PipelineModel(stages=[prepared, model]), seconds)
+            finally:
+                vectors.unpersist()
+        return {name: fitted[name] for name in models}
     finally:
         rows.unpersist()
-        vectors.unpersist()
 
 
 def fit_model(
