@@ -7,10 +7,10 @@ of bounded size, each built in a task as pages: a node has a centre, a covering
 and the distance to its parent's centre, a leaf page its vectors by distance to its centre.
 
 A query first searches its home subtree; the k-th best score found there goes with it
-to all others. Best-first search opens the page with the smallest possible distance, skips
-pages whose stored distances rule them out by the triangle inequality before any distance
-is computed, and reads of a leaf page only the vectors whose distance to the centre fits.
-The queries visit the subtrees in blocks; the answer is exact for any subtrees.
+to all others. Blocks of queries search a subtree together, best first: the page with the smallest
+possible distance of any query is opened next, stored distances rule out (query, page) pairs by the
+triangle inequality before any distance is computed, and of a leaf page only the vectors
+whose distance to the centre fits are multiplied. The answer is exact for any subtrees.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from faultline.llm.vectors import answers, distinct_vectors, finite, matrix, mos
 #: Routing objects: a hash sample of at most about so many vectors.
 ROUTERS = 64
 #: Vectors of a subtree, queries of a block, and blocks that one task takes, at most about.
-SUBTREE, QUERY_BLOCK, BLOCKS_PER_TASK = 8192, 512, 16
-FANOUT, LEAF = 16, 512
+SUBTREE, QUERY_BLOCK, BLOCKS_PER_TASK = 2048, 512, 4
+FANOUT, LEAF = 16, 256
 
 
 class Node:
@@ -65,56 +65,82 @@ class Node:
         )
 
 
-def best_first(
-    root: Node, q: np.ndarray, k: int, limit: float, slack: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and inner products of candidates for the k nearest of q within `limit`.
+class Best:
+    """The k highest scores of each query so far, ties to smaller ids; a query joins when it has any."""
 
-    Everything whose squared distance may be among the k smallest and at most limit is
-    returned; `slack` is the rounding error that bounds allow for. The inner products
-    are computed in integers.
+    def __init__(self, queries: int, k: int, least: np.ndarray):
+        self.k, self.least = k, least.astype(np.float64)
+        self.q, self.ids, self.scores = (np.zeros(0, np.int64) for _ in range(3))
+        self.held = np.zeros(queries, np.int64)
+
+    def add(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        q, ids, scores = (np.concatenate(c) for c in ((self.q, q), (self.ids, ids), (self.scores, scores)))
+        order = np.lexsort((ids, -scores, q))
+        q = q[order]
+        first = np.searchsorted(q, q)
+        kept = order[np.arange(len(q)) - first < self.k]
+        self.ids, self.scores = ids[kept], scores[kept]
+        self.q = np.concatenate([np.zeros(0, np.int64), q[np.arange(len(q)) - first < self.k]])
+        counts = np.bincount(self.q, minlength=len(self.least))
+        last = np.cumsum(counts) - 1
+        full = counts >= self.k
+        self.least[full] = np.maximum(self.least[full], self.scores[last[full]])
+
+
+def search_block(root: Node, x: np.ndarray, k: int, least: np.ndarray, longest: float) -> Best:
+    """The k highest inner products of each row of x in a tree, none below its `least`.
+
+    All queries of the block go through the pages together: stored parent distances drop (query,
+    page) pairs first, then one matrix product gives the distances to the centres that are
+    left, and one per leaf page the inner products. The page with the smallest possible
+    distance of any query is opened first. The bounds allow for rounding, and the products are
+    integers in doubles, so the answer is exact.
     """
-    held = np.zeros(0)
-    ids: list[np.ndarray] = []
-    products: list[np.ndarray] = []
-    whole = q[:-1].astype(np.int64)
-    at_root = float(np.sqrt(((q - root.centre) ** 2).sum()))
-    queue = [(max(at_root - root.radius, 0.0), 0, at_root, root)]
+    best = Best(len(x), k, least)
+    if not len(x):
+        return best
+    points = np.concatenate([x, np.zeros((len(x), 1))], axis=1)
+    square = (x**2).sum(axis=1)
+    slack = 1e-6 * np.maximum(np.sqrt(np.maximum(square, longest)), 1.0)
+
+    def reach(q: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(square[q] + longest - 2 * best.least[q], 0.0)) + slack[q]
+
+    every = np.arange(len(x))
+    at_root = np.sqrt(((points - root.centre) ** 2).sum(axis=1))
+    queue = [(0.0, 0, every, at_root, np.maximum(at_root - root.radius, 0.0), root)]
     opened = 1
-    reach = np.sqrt(limit)
     while queue:
-        least, _, at_centre, node = heapq.heappop(queue)
-        if least > reach + slack:
-            break
+        _, _, q, at_centre, bound, node = heapq.heappop(queue)
+        some = bound <= reach(q)
+        q, at_centre = q[some], at_centre[some]
+        if not len(q):
+            continue
+        limit = reach(q)
         if node.ids is not None:
-            first = np.searchsorted(node.far, at_centre - reach - slack)
-            last = np.searchsorted(node.far, at_centre + reach + slack, side="right")
-            if first >= last:
-                continue
-            far = ((node.x[first:last] - q) ** 2).sum(axis=1)
-            close = far <= limit + slack
-            if not close.any():
-                continue
-            ids.append(node.ids[first:last][close])
-            products.append(node.x[first:last][close][:, :-1].astype(np.int64) @ whole)
-            held = np.concatenate([held, far[close]])
-            if len(held) >= k:
-                held = np.partition(held, k - 1)[:k]
-                limit = min(limit, float(held.max()))
-                reach = np.sqrt(limit)
+            first = np.searchsorted(node.far, (at_centre - limit).min())
+            last = np.searchsorted(node.far, (at_centre + limit).max(), side="right")
+            scores = x[q] @ node.x[first:last, :-1].T
+            row, column = np.nonzero(scores >= best.least[q][:, None])
+            if len(row):
+                found = scores[row, column].astype(np.int64)
+                best.add(q[row], node.ids[first:last][column], found)
             continue
         centres, radii, to_parent = node.child_table
         # Parent distances first: |d(q, parent) - d(child, parent)| - radius is a lower bound.
-        some = np.flatnonzero(np.abs(at_centre - to_parent) - radii <= reach + slack)
-        far = np.sqrt(((centres[some] - q) ** 2).sum(axis=1))
-        for i, d in zip(some.tolist(), far.tolist(), strict=True):
-            bound = max(d - radii[i], 0.0)
-            if bound <= reach + slack:
-                heapq.heappush(queue, (bound, opened, d, node.children[i]))
+        near = np.abs(at_centre[:, None] - to_parent) - radii <= limit[:, None]
+        children = np.flatnonzero(near.any(axis=0))
+        far = (points[q] ** 2).sum(axis=1)[:, None] - 2 * points[q] @ centres[children].T
+        far = np.sqrt(np.maximum(far + (centres[children] ** 2).sum(axis=1), 0.0))
+        bounds = np.maximum(far - radii[children], 0.0)
+        for i, child in enumerate(children.tolist()):
+            left = near[:, child] & (bounds[:, i] <= limit)
+            if left.any():
+                heapq.heappush(
+                    queue, (float(bounds[left, i].min()), opened, q[left], far[left, i], bounds[left, i], node.children[child])
+                )
                 opened += 1
-    if not ids:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(ids), np.concatenate(products)
+    return best
 
 
 def lifted(x: np.ndarray, longest: float) -> np.ndarray:
@@ -160,7 +186,6 @@ def top_k(
     square = F.aggregate("vector", F.lit(0).cast("long"), lambda s, x: s + x * x)
     total, longest = points.agg(F.count("*"), F.max(square)).first()
     longest = float(longest or 0)
-    slack = 1e-6 * max(np.sqrt(longest), 1.0)
 
     draw = F.pmod(F.xxhash64(F.lit(seed), "rep"), F.lit(1 << 30))
     share = int((1 << 30) * min(1.0, ROUTERS / max(total, 1)))
@@ -219,25 +244,17 @@ def top_k(
 
     trees = settle(placed.groupBy("tree").applyInPandas(build, "tree long, pages binary"))
 
-    def search(root: Node, reps, table, limits) -> pd.DataFrame:
-        out = []
-        for q, x, worst in zip(reps, table, limits, strict=True):
-            own = float((x**2).sum()) + longest
-            limit = own - 2 * worst if np.isfinite(worst) else np.inf
-            point = np.append(x, 0.0)
-            ids, score = best_first(root, point, k + 1, limit, slack * max(1.0, np.sqrt(own)))
-            best = np.lexsort((ids, -score))[: k + 1]
-            out.append(pd.DataFrame({"q": q, "rep": ids[best], "score": score[best]}))
-        empty = {"q": pd.Series(dtype="int64"), "rep": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")}
-        return pd.concat(out) if out else pd.DataFrame(empty)
+    def search(root: Node, reps, table, least) -> pd.DataFrame:
+        best = search_block(root, table, k + 1, least, longest)
+        return pd.DataFrame({"q": reps[best.q], "rep": best.ids, "score": best.scores})
+
+    none = {"q": np.zeros(0, np.int64), "rep": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)}
 
     def at_home(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left):
-            left = pd.DataFrame({"pages": []})
         reps = right["rep"].to_numpy()
         x = np.array(right["vector"].tolist(), dtype=np.float64).reshape(-1, dimensions)
-        if not len(left):
-            return search(None, [], [], [])
+        if not len(left) or not len(reps):
+            return pd.DataFrame(none)
         return search(pickle.loads(left["pages"].iloc[0]), reps, x, np.full(len(reps), -np.inf))
 
     # The queries of one home are cut into parts of bounded size.
@@ -274,7 +291,7 @@ def top_k(
 
     def elsewhere(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return search(None, [], [], [])
+            return pd.DataFrame(none)
         tree, root = int(left["tree"].iloc[0]), pickle.loads(left["pages"].iloc[0])
         out = []
         for packed in right["asked"]:
