@@ -6,16 +6,17 @@ the beginning matters for finding partners: two rows that are similar enough sha
 their first n - ceil(limit * n) + 1. The product runs over these columns only, and within a
 column over bands of sizes: rows of bands further apart than one cannot be similar.
 
-A small column gives all its pairs. Each pair is discarded if its sizes, its places in the column,
-or the overlap that the two rows can have at all are below what the limit needs; the last bound
-is the sum of smaller counts after both rows are folded into a few column blocks. The
-others are counted on the full rows.
-
-A crowded column is first compared with its smallest row. Then only its rows outside the largest
-component, or outside the rows that were compared in an earlier column together, meet the others:
-in blocks of rows whose overlap counts are summed over blocks of columns. A block gives out
-a forest of its links, not all of them, as only components are wanted. Nothing is left out: the
-result is exact but for equal 64-bit hashes of different n-grams.
+The rows of a column first meet its smallest one. A pair is discarded if its sizes, its places in
+the rows, or the overlap that the two rows can have at all are below what the limit needs; the
+last bound is the sum of smaller counts after both rows are folded into a few column blocks.
+The others are counted on the full rows. A small column then gives all its pairs of rows that
+are not connected yet.
+
+Of a crowded column, only the rows outside the largest component, or outside the rows that
+met in an earlier column together, meet the others: in blocks of rows whose overlap counts are
+summed over blocks of columns. A block gives out a forest of its links, not all of them, as
+only components are wanted. Nothing is left out: the result is exact but for equal 64-bit hashes
+of different n-grams.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ BUCKETS = 1 << 18
 CROWD = 16
 #: Rows and n-grams of a block, and columns of a block, at most about.
 BLOCK_ROWS, BLOCK_GRAMS, BLOCK_COLUMNS = 2048, 1 << 21, 4096
+#: Up to so many document ids (8 MB) are sent to the texts; for more the texts are shuffled.
+SENT_IDS = 1_000_000
 _PRINTED = pa.schema(
     [("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("counts", pa.binary())]
 )
@@ -75,15 +78,21 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def folded(own: np.ndarray) -> np.ndarray:
-    """How many n-grams of a row fall into each of a power of two of hash ranges."""
-    bits = max(6, math.ceil(math.log2(max(len(own), 1) / 4 or 1)))
+def folded(own: np.ndarray) -> bytes:
+    """How many n-grams of a row fall into each of a power of two of hash ranges.
+
+    1, 2 or 4 bytes a count, after a byte that says which.
+    """
+    bits = max(6, math.ceil(math.log2(max(len(own), 8) / 8)))
     place = (own >> np.uint64(64 - bits)).astype(np.int64)
-    return np.minimum(np.bincount(place, minlength=1 << bits), 65535).astype("<u2")
+    counts = np.bincount(place, minlength=1 << bits)
+    size = 1 if counts.max() < 1 << 8 else 2 if counts.max() < 1 << 16 else 4
+    return bytes([size]) + counts.astype(f"<u{size}").tobytes()
 
 
-def overlap_bound(one: np.ndarray, two: np.ndarray) -> int:
+def overlap_bound(one: bytes, two: bytes) -> int:
     """At most so many n-grams are in both rows."""
+    one, two = (np.frombuffer(x, f"<u{x[0]}", offset=1) for x in (one, two))
     size = min(len(one), len(two))
     one, two = (x.reshape(size, -1).sum(axis=1, dtype=np.int64) for x in (one, two))
     return int(np.minimum(one, two).sum())
@@ -142,7 +151,7 @@ def _signed_rows(counts: np.ndarray, width: int, percent: int):
                     continue
                 order = np.lexsort((own, counts[(own & np.uint64(BUCKETS - 1)).astype(np.int64)]))
                 grams = own[order[: prefix_length(len(own), percent)]].view(np.int64)
-                row = (key, len(own), *Signer.print_of(own), grams, folded(own).tobytes())
+                row = (key, len(own), *Signer.print_of(own), grams, folded(own))
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
             yield _batch(out, _SIGNED)
@@ -165,7 +174,10 @@ def _set_rows(width: int):
 def _sets(wanted: DataFrame, classes: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """(id, n, items) of the wanted classes, from the texts of their first documents."""
     named = settle(classes.join(wanted, "id", "left_semi").select("id", "rep", "n", "p1", "p2"))
-    texts = rows.join(named.select(F.col("rep").alias("key")).distinct(), "key", "left_semi")
+    keys = named.select(F.col("rep").alias("key")).distinct()
+    if named.count() <= SENT_IDS:
+        keys = F.broadcast(keys)
+    texts = rows.join(keys, "key", "left_semi")
     made = texts.select("text").mapInArrow(_set_rows(width), _ddl(_SETS))
     # A repeated document id brings all its texts; the fingerprint says which one is meant.
     return settle(made.join(named, ["n", "p1", "p2"]).select("id", "n", "items").dropDuplicates(["id"]))
@@ -178,10 +190,7 @@ def _counted(pairs: DataFrame, classes: DataFrame, rows: DataFrame, width: int,
         for batch in batches:
             n_a, n_b = (batch.column(i).to_numpy() for i in (2, 3))
             one, two = (batch.column(i).to_pylist() for i in (4, 5))
-            most = [
-                overlap_bound(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2"))
-                for x, y in zip(one, two, strict=True)
-            ]
+            most = [overlap_bound(x, y) for x, y in zip(one, two, strict=True)]
             enough = similar(np.array(most, np.int64), n_a, n_b, percent)
             yield batch.select([0, 1]).filter(pa.array(enough, pa.bool_()))
 
@@ -277,10 +286,9 @@ def _block_product(percent: int):
     return run
 
 
-def _crowds(members: DataFrame, crowded: DataFrame, grouped: DataFrame) -> DataFrame:
+def _crowds(members: DataFrame, grouped: DataFrame) -> DataFrame:
     """(gram, band, id, n, own, part, outside) of crowded columns that are not yet one component."""
-    rows = members.join(crowded.select("gram", "band"), ["gram", "band"])
-    rows = rows.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn(
+    rows = members.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "part", F.coalesce("component", "id")
     )
     # Rows with a common earlier crowded column have met there.
@@ -402,15 +410,16 @@ def _links(classes: DataFrame, rows: DataFrame, width: int, percent: int) -> Dat
         F.struct(band.alias("band"), F.lit(True).alias("own")),
         F.struct((band + 1).alias("band"), F.lit(False).alias("own")),
     )
-    members = settle(postings.join(shared, "gram").select("gram", "id", "n", "pos", F.inline(both)))
+    postings = settle(postings.join(shared, "gram"))
+    members = postings.select("gram", "id", "n", "pos", F.inline(both))
     mine = F.when(F.col("own"), F.struct("id", "n", "pos"))
-    columns = settle(
+    columns = (
         members.groupBy("gram", "band")
         .agg(F.count("*").alias("rows"), F.count_if(F.col("own")).alias("owners"), F.min(mine).alias("low"))
         .where("rows > 1 AND owners > 0")
+        .select("gram", "band", (F.col("rows") > CROWD).alias("crowded"), "low")
     )
-    crowded = columns.where(F.col("rows") > CROWD)
-    small = members.join(columns.where(F.col("rows") <= CROWD).select("gram", "band"), ["gram", "band"])
+    members = settle(members.join(columns, ["gram", "band"]))
 
     def possible(n_a, pos_a, n_b, pos_b) -> Column:
         # Columns before the shared one, itself, and those after it.
@@ -420,22 +429,31 @@ def _links(classes: DataFrame, rows: DataFrame, width: int, percent: int) -> Dat
     def ordered(x: Column, y: Column) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    one = small.where("own").select("gram", "band", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "pos")])
-    two = small.select("gram", "band", "own", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "pos")])
+    # Every row meets the smallest of its column; what that connects is not compared again.
+    to_low = (
+        members.where(F.col("id") != F.col("low.id"))
+        .where(possible(F.col("n"), F.col("pos"), F.col("low.n"), F.col("low.pos")))
+        .select(*ordered(F.col("id"), F.col("low.id")))
+    )
+    tried = settle(to_low.distinct())
+    links = _counted(tried, classes, rows, width, percent)
+    grouped = settle(connected(links))
+    small = members.where("NOT crowded").join(grouped.withColumnRenamed("node", "id"), "id", "left")
+    small = small.withColumn("part", F.coalesce("component", "id"))
+    held = ("id", "n", "pos", "part")
+    one = small.where("own").select("gram", "band", *[F.col(c).alias(f"{c}_x") for c in held])
+    two = small.select("gram", "band", "own", *[F.col(c).alias(f"{c}_y") for c in held])
     pairs = (
         one.join(two, ["gram", "band"])
-        .where((~F.col("own") & (F.col("id_x") != F.col("id_y"))) | (F.col("id_x") < F.col("id_y")))
+        .where("part_x <> part_y AND (NOT own OR id_x < id_y)")
         .where(possible(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y")))
         .select(*ordered(F.col("id_x"), F.col("id_y")))
+        .distinct()
+        .join(tried, ["a", "b"], "left_anti")
     )
-    to_low = (
-        members.join(crowded.select("gram", "band", "low"), ["gram", "band"])
-        .where(F.col("id") != F.col("low.id"))
-        .where(possible(F.col("n"), F.col("pos"), F.col("low.n"), F.col("low.pos")))
-        .select(*ordered(F.col("id"), F.col("low.id")))
-    )
-    links = _counted(settle(pairs.union(to_low).distinct()), classes, rows, width, percent)
+    links = links.union(_counted(settle(pairs), classes, rows, width, percent))
+    crowded = members.where("crowded").drop("low", "crowded")
     if crowded.isEmpty():
         return links
-    open_rows = _crowds(members, crowded, connected(links))
+    open_rows = _crowds(crowded, grouped)
     return links.union(_crowd_links(open_rows, classes, rows, width, percent))
