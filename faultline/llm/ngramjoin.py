@@ -13,9 +13,10 @@ The others are counted on the full rows. A small column then gives all its pairs
 are not connected yet.
 
 Of a crowded column, only the rows outside the largest component, or outside the rows that
-met in an earlier column together, meet the others: in blocks of rows whose overlap counts are
-summed over blocks of columns. A block gives out a forest of its links, not all of them, as
-only components are wanted. Nothing is left out: the result is exact but for equal 64-bit hashes
+met in an earlier column together, meet the others, in blocks. A block first bounds the overlaps by
+the folded rows. If few pairs are left they are counted one by one; if many, the full rows of
+the block are multiplied, their overlap counts summed over blocks of columns, and a forest of
+the links given out, as only components are wanted. Nothing is left out: the result is exact but for equal 64-bit hashes
 of different n-grams.
 """
 
@@ -42,6 +43,8 @@ BUCKETS = 1 << 18
 CROWD = 16
 #: Rows and n-grams of a block, and columns of a block, at most about.
 BLOCK_ROWS, BLOCK_GRAMS, BLOCK_COLUMNS = 2048, 1 << 21, 4096
+#: Two blocks with more possible pairs than so many a row have their full rows multiplied.
+DENSE = 4
 #: Up to so many document ids (8 MB) are sent to the texts; for more the texts are shuffled.
 SENT_IDS = 1_000_000
 _PRINTED = pa.schema(
@@ -262,6 +265,39 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return kept_a, kept_b
 
 
+def _block_bounds(percent: int):
+    """Pairs (a, b) of two blocks that may be similar; one row without a pair if they are many."""
+
+    def run(table: pd.DataFrame) -> pd.DataFrame:
+        asks = table["ask"].to_numpy()
+        counts = [np.frombuffer(x, f"<u{x[0]}", offset=1) for x in table["folded"]]
+        size = min(len(c) for c in counts)
+        counts = np.array([c.reshape(size, -1).sum(axis=1, dtype=np.int32) for c in counts])
+        here, there = table[asks], table[~asks]
+        own, n, ids, part, met = (there[c].to_numpy() for c in ("own", "n", "id", "part", "met"))
+        found_a, found_b, total = [], [], 0
+        for place, row in enumerate(here.itertuples()):
+            wanted = (own | row.own) & (ids != row.id) & (part != row.part)
+            if row.met == row.met and row.met is not None:
+                wanted &= met != row.met
+            some = np.flatnonzero(wanted)
+            most = np.minimum(counts[~asks][some], counts[asks][place]).sum(axis=1) if len(some) else some
+            other = ids[some[similar(most, n[some], row.n, percent)]] if len(some) else some
+            found_a.append(np.minimum(other, row.id))
+            found_b.append(np.maximum(other, row.id))
+            total += len(other)
+        first = table.iloc[0]
+        block = {c: int(first[c]) for c in ("gram", "band", "i", "j")}
+        if total > DENSE * len(table):
+            return pd.DataFrame([{**block, "a": None, "b": None}]).astype({"a": "Int64", "b": "Int64"})
+        none = np.zeros(0, np.int64)
+        pairs = pd.DataFrame({"a": np.concatenate([none, *found_a]), "b": np.concatenate([none, *found_b])})
+        pairs = pairs.drop_duplicates()
+        return pairs.assign(**block)[["gram", "band", "i", "j", "a", "b"]].astype({"a": "Int64", "b": "Int64"})
+
+    return run
+
+
 def _block_product(percent: int):
     def run(table: pd.DataFrame) -> pd.DataFrame:
         asks = table["ask"].to_numpy()
@@ -318,10 +354,12 @@ def _crowds(members: DataFrame, grouped: DataFrame) -> DataFrame:
     judged = judged.join(largest("met"), ["gram", "band"], "left")
     by_met = F.coalesce(F.col("most_met.held") >= F.col("most_part.held"), F.lit(False))
     outside = F.when(by_met, outside_of("met")).otherwise(outside_of("part"))
-    return settle(judged.select("gram", "band", "id", "n", "own", "part", outside.alias("outside")))
+    return settle(judged.select("gram", "band", "id", "n", "own", "part", "met", outside.alias("outside")))
 
 
-def _crowd_links(open_rows: DataFrame, classes: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+def _crowd_links(
+    open_rows: DataFrame, tried: DataFrame, classes: DataFrame, rows: DataFrame, width: int, percent: int
+) -> DataFrame:
     """Links (a, b) between rows outside and all rows of each crowded column."""
 
     def blocks(which: DataFrame, name: str) -> DataFrame:
@@ -331,22 +369,35 @@ def _crowd_links(open_rows: DataFrame, classes: DataFrame, rows: DataFrame, widt
     sizes = blocks(open_rows, "all_blocks").join(
         blocks(open_rows.where("outside"), "ask_blocks"), ["gram", "band"]
     )
-    sets = _sets(open_rows.select("id").distinct(), classes, rows, width).select("id", "items")
     ready = open_rows.join(settle(sizes), ["gram", "band"])
     spread = F.xxhash64("id")
 
     def every(blocks: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
 
-    keep = ["gram", "band", "id", "n", "own", "part"]
+    keep = ["gram", "band", "id", "n", "own", "part", "met"]
     here = ready.select(
         *keep, F.pmod(spread, F.col("all_blocks")).alias("i"), every("ask_blocks").alias("j"), F.lit(False).alias("ask")
     )
     asking = ready.where("outside").select(
         *keep, every("all_blocks").alias("i"), F.pmod(spread, F.col("ask_blocks")).alias("j"), F.lit(True).alias("ask")
     )
-    dealt = here.unionByName(asking).join(sets, "id")
-    return settle(dealt.groupBy("gram", "band", "i", "j").applyInPandas(_block_product(percent), "a long, b long"))
+    dealt = here.unionByName(asking)
+    bounded = settle(
+        dealt.join(classes.select("id", "folded"), "id")
+        .groupBy("gram", "band", "i", "j")
+        .applyInPandas(_block_bounds(percent), "gram long, band long, i long, j long, a long, b long")
+    )
+    few = bounded.where("a IS NOT NULL").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    links = _counted(settle(few), classes, rows, width, percent)
+    dense = bounded.where("a IS NULL").select("gram", "band", "i", "j")
+    if dense.isEmpty():
+        return links
+    # Blocks of rows that are much alike: their full rows are multiplied, links leave as a forest.
+    many = settle(dealt.join(dense, ["gram", "band", "i", "j"]))
+    sets = _sets(many.select("id").distinct(), classes, rows, width).select("id", "items")
+    product = many.join(sets, "id").groupBy("gram", "band", "i", "j")
+    return links.union(settle(product.applyInPandas(_block_product(percent), "a long, b long")))
 
 
 def jaccard_groups(
@@ -456,4 +507,4 @@ def _links(classes: DataFrame, rows: DataFrame, width: int, percent: int) -> Dat
     if crowded.isEmpty():
         return links
     open_rows = _crowds(crowded, grouped)
-    return links.union(_crowd_links(open_rows, classes, rows, width, percent))
+    return links.union(_crowd_links(open_rows, tried, classes, rows, width, percent))
