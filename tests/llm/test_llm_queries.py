@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_is_registered():
     found = __spark_entry__.queries()
     numbers = sorted(int(m[1]) for name in found if (m := re.match(r"op(\d+)_", name)))
-    assert numbers == list(range(1, 11)) and "pipeline" in found
+    assert numbers == list(range(1, 14)) and "pipeline" in found
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
