@@ -16,6 +16,7 @@ from faultline.catalog.sql import shown
 from faultline.operators import importance, models
 from faultline.operators.artifact import file_digests
 from faultline.operators.boosting import LeafwiseBoosting
+from faultline.operators.folds import FOLDS
 from faultline.operators.splits import stratified_split as split_table
 from faultline.plans import workflows
 from faultline.functions.settle import checkpoint_dir, settle
@@ -35,6 +36,8 @@ def query(name, oracle=None):
     return add
 
 
+#: The one candidate whose scores and metrics follow from the table alone.
+_PRIOR_ONLY = {models.PRIOR: models.COMPARISON_MODELS[models.PRIOR]}
 _PARTS = f"{sql.FLAGS}, {sql.split('flags', 'o_orderkey', 'at_risk')}"
 
 
@@ -149,6 +152,45 @@ def model_comparison(spark, sf):
     )
 
 
+_OUT_OF_FOLD = f"""WITH {sql.FLAGS}, {sql.folds('flags', 'o_orderkey', 'at_risk', FOLDS)},
+n AS (SELECT fold, count(*) AS n, sum(label) AS pos FROM folds GROUP BY fold),
+fits AS (
+  SELECT f.fold, f.n, f.pos, CAST(sum(o.pos) AS DOUBLE) / sum(o.n) AS p
+  FROM n f JOIN n o ON f.fold <> o.fold GROUP BY ALL)"""
+
+
+@query(
+    "out_of_fold_scores",
+    f"""{_OUT_OF_FOLD} SELECT '{models.PRIOR}' AS model, o_orderkey, fold, label, round(p, 9) AS probability
+    FROM folds JOIN fits USING (fold)""",
+)
+def out_of_fold_scores(spark, sf):
+    """The prior of the other folds for every row: a row's own fold never reaches its score."""
+    return shown(workflows.out_of_fold_scores(b.orders_table(spark, sf), b.ORDERS, _PRIOR_ONLY))
+
+
+@query(
+    "cross_validation",
+    f"""{_OUT_OF_FOLD}, c AS (
+      SELECT fold, p >= 0.5 AS hit, n, CAST(pos AS BIGINT) AS pos FROM fits)
+    SELECT '{models.PRIOR}' AS model, fold,
+      round(CAST(CASE WHEN hit THEN pos ELSE n - pos END AS DOUBLE) / n, 6) AS accuracy,
+      round(CASE WHEN hit THEN CAST(pos AS DOUBLE) / n ELSE 0 END, 6) AS precision,
+      CAST(CASE WHEN hit THEN 1 ELSE 0 END AS DOUBLE) AS recall,
+      round(CASE WHEN hit THEN 2.0 * pos / (n + pos) ELSE 0 END, 6) AS f1,
+      CAST(0.5 AS DOUBLE) AS roc_auc, round(CAST(pos AS DOUBLE) / n, 6) AS average_precision,
+      CASE WHEN hit THEN 0 ELSE n - pos END AS true_negative,
+      CASE WHEN hit THEN n - pos ELSE 0 END AS false_positive,
+      CASE WHEN hit THEN 0 ELSE pos END AS false_negative,
+      CASE WHEN hit THEN pos ELSE 0 END AS true_positive
+    FROM c""",
+)
+def cross_validation(spark, sf):
+    """Every metric of the prior on each fold; SQL knows what a constant score must reach."""
+    reports = workflows.cross_validation(b.orders_table(spark, sf), b.ORDERS, _PRIOR_ONLY)
+    return shown(reports["cross_validation"])
+
+
 @query(
     "final_evaluation",
     f"""WITH {_PARTS}, n AS (SELECT count(*) FILTER (label = 0) AS actual_0,
@@ -232,26 +274,44 @@ def artifact_digest(spark, sf):
 _SCORE = """(CAST(0.7 AS DOUBLE) * (price / CAST(500000 AS DOUBLE))
     + CAST(0.3 AS DOUBLE) * (CAST((customer * 37) % 100 AS DOUBLE) / CAST(100 AS DOUBLE)))"""
 
-_PERMUTED = f"""{sql.FLAGS},
+
+
+def _feistel(x: str) -> str:
+    """SELECT items that send ``x`` through the six rounds; the last two are l3 and r3."""
+    out = [f"{x} // b AS l0", f"{x} % b AS r0"]
+    for r in range(importance.ROUNDS):
+        j = r // 2
+        old, new, other, side = (f"l{j}", f"l{j + 1}", f"r{j}", "a") if r % 2 == 0 else (f"r{j}", f"r{j + 1}", f"l{j + 1}", "b")
+        out.append(f"({other} + k{r}) % {importance.PRIME} * {importance.FIRST} % {importance.PRIME} AS t{r}")
+        out.append(f"({old} + xor(t{r}, t{r} >> 15) * {importance.SECOND} % {importance.PRIME}) % {side} AS {new}")
+    return ", ".join(out)
+
+
+_KEYS = ", ".join(
+    f"CAST('0x' || substr(md5(f || ':42:' || r || ':{i}'), 1, 7) AS BIGINT) AS k{i}" for i in range(importance.ROUNDS)
+)
+_PERMUTED = f"""RECURSIVE {sql.FLAGS},
 base AS (
   SELECT o_orderkey, at_risk AS label, o_totalprice, o_custkey,
-    CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
-      % (SELECT CAST(ceil(count(*) / 4000.0) AS BIGINT) FROM orders) AS block
+    row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS i
   FROM flags),
-grid AS (SELECT f AS feature, r AS repeat FROM (VALUES ('o_totalprice'), ('o_custkey')) a(f),
-  range(1, 11) b(r)),
-placed AS (
-  SELECT base.*, feature, repeat,
-    row_number() OVER (PARTITION BY feature, repeat, block
-      ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':' || feature || ':42:' || repeat), o_orderkey) AS i,
-    count(*) OVER (PARTITION BY feature, repeat, block) AS n
-  FROM base, grid),
+box AS (
+  SELECT count(*) AS n, CAST(floor(sqrt(CAST(count(*) - 1 AS DOUBLE))) AS BIGINT) + 1 AS a,
+    CAST(ceil(count(*) / floor(sqrt(CAST(count(*) - 1 AS DOUBLE)) + 1)) AS BIGINT) AS b
+  FROM flags),
+grid AS (SELECT f AS feature, r AS repeat, n, a, b, {_KEYS}
+  FROM (VALUES ('o_totalprice'), ('o_custkey')) v(f), range(1, 11) w(r), box),
+walk AS (
+  SELECT feature, repeat, i, l3 * b + r3 AS x FROM (SELECT grid.*, i, {_feistel("i")} FROM base, grid)
+  UNION ALL
+  SELECT feature, repeat, i, l3 * b + r3 FROM (
+    SELECT grid.*, walk.i, {_feistel("walk.x")} FROM walk JOIN grid USING (feature, repeat) WHERE walk.x >= n)),
+moved AS (SELECT feature, repeat, i AS giver, x AS receiver FROM walk, box WHERE x < n),
 swapped AS (
-  SELECT a.feature, a.repeat, a.label,
-    CASE WHEN a.feature = 'o_totalprice' THEN d.o_totalprice ELSE a.o_totalprice END AS price,
-    CASE WHEN a.feature = 'o_custkey' THEN d.o_custkey ELSE a.o_custkey END AS customer
-  FROM placed a JOIN placed d ON a.feature = d.feature AND a.repeat = d.repeat AND a.block = d.block
-    AND d.i = a.i % a.n + 1
+  SELECT m.feature, m.repeat, a.label,
+    CASE WHEN m.feature = 'o_totalprice' THEN d.o_totalprice ELSE a.o_totalprice END AS price,
+    CASE WHEN m.feature = 'o_custkey' THEN d.o_custkey ELSE a.o_custkey END AS customer
+  FROM moved m JOIN base a ON a.i = m.receiver JOIN base d ON d.i = m.giver
   UNION ALL SELECT '', 0, label, o_totalprice, o_custkey FROM base),
 points AS (
   SELECT feature, repeat, {_SCORE} AS p, sum(label) AS pos, count(*) AS n FROM swapped GROUP BY ALL),
@@ -274,7 +334,6 @@ def _importance(spark, sf):
         "o_orderkey",
         ("o_totalprice", "o_custkey"),
         lambda df: df.withColumn("probability", b.fixed_score()),
-        block_rows=4000,
     )
 
 

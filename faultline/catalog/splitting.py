@@ -1,4 +1,4 @@
-"""Split, scaling, encoding, class weights."""
+"""Split, folds, scaling, encoding, class weights."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from faultline.catalog import sql
 from faultline.catalog.sql import shown
-from faultline.operators import features, models, splits
+from faultline.operators import features, folds, models, splits
 from faultline.sources import bindings as b
 
 QUERIES = {}
@@ -66,6 +66,33 @@ def development_set(spark, sf):
     return splits.development_set(_split_orders(spark, sf))
 
 
+_FOLDS = f"WITH {sql.FLAGS}, {sql.folds('flags', 'o_orderkey', 'at_risk', folds.FOLDS)}"
+
+
+def _folded_orders(spark, sf):
+    rows = b.orders_flags(spark, sf).select("o_orderkey", F.col("at_risk").alias("label"))
+    return folds.stratified_folds(rows, "o_orderkey", "label")
+
+
+@query("kfold_assignment", f"{_FOLDS} SELECT o_orderkey, label, fold FROM folds")
+def kfold_assignment(spark, sf):
+    return _folded_orders(spark, sf)
+
+
+@query(
+    "kfold_assignment_events",
+    f"WITH {sql.EVENTS}, {sql.folds('e', 'event_id', 'label', 7)} SELECT event_id, label, fold FROM folds",
+)
+def kfold_assignment_events(spark, sf):
+    rows = b.events_scored(spark, sf).select("event_id", "label")
+    return folds.stratified_folds(rows, "event_id", "label", folds=7)
+
+
+@query("kfold_counts", f"{_FOLDS} SELECT fold, label, count(*) AS count FROM folds GROUP BY fold, label")
+def kfold_counts(spark, sf):
+    return folds.fold_counts(_folded_orders(spark, sf), "label")
+
+
 _NUMERIC = b.ORDERS.numeric
 _TABLE = f"WITH {sql.ORDERS}, {sql.split('t', 'o_orderkey', 'at_risk')}"
 

@@ -149,6 +149,22 @@ parts AS (
   FROM ranked JOIN val_size ON ranked.y = val_size.y)"""
 
 
+def folds(rows: str, key: str, label: str, k: int) -> str:
+    """CTE ``folds``: key, label and fold, by dealing ranked rows like cards."""
+    return f"""
+fold_places AS (
+  SELECT {key}, {label} AS label,
+    row_number() OVER (PARTITION BY {label} ORDER BY md5(CAST({key} AS VARCHAR) || ':42'), {key}) AS place,
+    row_number() OVER (ORDER BY {label}, md5(CAST({key} AS VARCHAR) || ':42'), {key}) - 1 AS card
+  FROM {rows}),
+dealt AS (
+  SELECT label, CAST(card % {k} AS INTEGER) AS fold,
+    row_number() OVER (PARTITION BY label ORDER BY card % {k}, card) AS place
+  FROM fold_places),
+folds AS (
+  SELECT {key}, f.label, fold FROM fold_places f JOIN dealt d ON f.label = d.label AND f.place = d.place)"""
+
+
 # A score built from cents and hundredths has nine decimals; rounding it to six would
 # meet ties, which the two engines may break differently.
 SCORES = ("probability", "score", "failure_probability")

@@ -1,31 +1,93 @@
 """Permutation importance: what average precision loses when one feature is shuffled.
 
-Rows are dealt by a hash of their key into blocks of bounded expected size. Inside a
-block, each (feature, repeat) orders the rows by its own hash, and every row takes the
-feature value of the next row, the last one that of the first: a random cyclic
-permutation. All (feature, repeat) windows share the block partitioning, so the rows are
-shuffled once, not once per feature and repeat. Blocks are drawn by hash, so permuting
-inside them is as random as the draw, and their size bounds what one sort holds.
+Rows are numbered 0 to n - 1 by a hash of their key: ranks inside hash ranges of bounded
+size, plus the sizes of the ranges before. For every (feature, repeat) a keyed Feistel
+network with cycle walking is a bijection of these numbers: row ``i`` gives its feature to row
+``f(i)``, wherever in the table that is. Giving is a narrow row (receiver, feature, repeat,
+value), and one join on the receiver's number makes all copies of all features and repeats.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import sys
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.arguments import at_least_one
-from faultline.functions.columns import col, quoted
+from faultline.functions.columns import col
 from faultline.functions.columns import text as literal
 from faultline.functions.settle import settle
 from faultline.operators.metrics import counted_scores, ranking_of_counts
 from faultline.spec import SEED
 
 REPEATS = 10
-BLOCK_ROWS = 5_000
+# Rows of one hash range, about, and hex digits of the finest ranges (16^5 sizes of 16 bytes).
+RANGE_ROWS, RANGE_DIGITS = 50_000, 5
+# The mixing function of a round: two multiplications modulo a prime.
+ROUNDS, PRIME, FIRST, SECOND = 6, 2**31 - 1, 1_103_515_245, 1_664_525
+
+
+def round_keys(feature: str, repeat: int, seed: int) -> list[int]:
+    """One key per round, below 2^28."""
+    named = (f"{feature}:{seed}:{repeat}:{r}" for r in range(ROUNDS))
+    return [int(hashlib.md5(name.encode()).hexdigest()[:7], 16) for name in named]
+
+
+def sides(n: int) -> tuple[int, int]:
+    """The rectangle a x b that holds n numbers, with less than one row of it to spare."""
+    a = max(1, math.isqrt(max(n - 1, 0)) + 1)
+    return a, max(1, -(-n // a))
+
+
+def receivers(ranks: np.ndarray, keys: Sequence[int], n: int) -> np.ndarray:
+    """Where each rank's value goes: a bijection of 0 to n - 1 chosen by the keys.
+
+    A number is a cell of the rectangle; each round shifts one coordinate by a mix of the other,
+    so a pass is a bijection of the cells. Numbers that leave 0 to n - 1 walk on until they are
+    back, which keeps it a bijection of the smaller range.
+    """
+    a, b = sides(n)
+
+    def passed(x):
+        left, right = x // b, x % b
+        for r, k in enumerate(keys):
+            t = ((right if r % 2 == 0 else left) + k) % PRIME * FIRST % PRIME
+            t = (t ^ (t >> 15)) * SECOND % PRIME
+            if r % 2 == 0:
+                left = (left + t) % a
+            else:
+                right = (right + t) % b
+        return left * b + right
+
+    out = passed(ranks.astype(np.int64))
+    while (outside := np.flatnonzero(out >= n)).size:
+        out[outside] = passed(out[outside])
+    return out
+
+
+def numbered(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The rows with ``_rank``, 0 to n - 1 in order of their keys' hashes; keys are unique."""
+    digits = min(RANGE_DIGITS, max(1, math.ceil(math.log(max(n / RANGE_ROWS, 1), 16))))
+    hashed = df.withColumn("_hash", F.md5(col(key).cast("string")))
+    hashed = hashed.withColumn("_range", F.substring("_hash", 1, digits))
+    # At most 16^RANGE_DIGITS rows, whatever the table holds.
+    sizes = hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy().orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_hash", col(key)))
+    return (
+        hashed.withColumn("_place", inside)
+        .join(F.broadcast(starts), "_range")
+        .withColumn("_rank", F.col("_start") + F.col("_place") - 1)
+        .drop("_hash", "_range", "_place", "_start")
+    )
 
 
 def permuted_copies(
@@ -34,54 +96,55 @@ def permuted_copies(
     features: Sequence[str],
     repeats: int = REPEATS,
     seed: int = SEED,
-    block_rows: int = BLOCK_ROWS,
     keep: Sequence[str] = ("label",),
 ) -> DataFrame:
-    """(feature, repeat, key, keep..., features...) with one feature permuted per copy.
+    """(key, keep..., feature, repeat, features...) with one feature permuted per copy.
 
     The untouched rows come along as feature NULL, repeat 0.
     """
     at_least_one(repeats, "repeats")
-    blocks = max(1, math.ceil(df.count() / at_least_one(block_rows, "block_rows")))
-    text = col(key).cast("string")
-    block = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % blocks
-    base = df.select(
+    at_least_one(len(features), "number of features")
+    base = df.select(col(key), *[col(k) for k in keep], *[col(f) for f in features])
+    n = df.count()
+    ranked = numbered(base, key, n)
+    every = [(i, f, r) for i, f in enumerate(features) for r in range(1, repeats + 1)]
+    keys = [round_keys(f, r, seed) for _, f, r in every]
+
+    @F.pandas_udf("array<bigint>")
+    def targets(rank: pd.Series) -> pd.Series:
+        ranks = rank.to_numpy()
+        found = np.stack([receivers(ranks, k, n) for k in keys], axis=1)
+        return pd.Series(list(found), dtype=object)
+
+    def value(at: int | None) -> Column:
+        """The features of a giver, all but the given one empty."""
+        cells = [
+            (col(f) if i == at else F.lit(None).cast(base.schema[f].dataType)).alias(f"v{i}")
+            for i, f in enumerate(features)
+        ]
+        return F.struct(*cells)
+
+    def given(at: int, i: int | None, r: int) -> Column:
+        receiver = F.col("_rank") if i is None else F.col("_targets")[at]
+        which = F.lit(-1 if i is None else i)
+        return F.struct(
+            receiver.alias("_to"), which.alias("_at"), F.lit(r).alias("repeat"), value(i).alias("_given")
+        )
+
+    gifts = [given(-1, None, 0)] + [given(at, i, r) for at, (i, _, r) in enumerate(every)]
+    giving = ranked.withColumn("_targets", targets("_rank")).select(F.inline(F.array(*gifts)))
+    name = F.expr("CASE _at " + " ".join(f"WHEN {i} THEN {literal(f)}" for i, f in enumerate(features)) + " END")
+    return ranked.join(giving, F.col("_rank") == F.col("_to")).select(
         col(key),
         *[col(k) for k in keep],
-        *[col(f) for f in features],
-        block.alias("_block"),
+        name.alias("feature"),
+        "repeat",
+        *[
+            F.when(F.col("_at") == i, F.col(f"_given.v{i}")).otherwise(col(f)).alias(f)
+            for i, f in enumerate(features)
+        ],
     )
 
-    def successor(feature: str, r: int):
-        """The feature of the next row in the block's random order of (feature, repeat)."""
-        order = F.md5(F.concat_ws(":", text, F.lit(feature), F.lit(f"{seed}"), F.lit(f"{r}")))
-        ring = Window.partitionBy("_block").orderBy(order, col(key))
-        following = F.lead(F.struct(col(feature).alias("v"))).over(ring)
-        # The first row of the ring, seen from every row.
-        first = F.first(F.struct(col(feature).alias("v"))).over(
-            ring.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return F.coalesce(following, first).getField("v")
-
-    def copy(feature: str | None, r: int, swapped: str | None = None) -> str:
-        name = "CAST(NULL AS STRING)" if feature is None else literal(feature)
-        cells = ", ".join(
-            f"{literal(f)}, {swapped if f == feature else quoted(f)}" for f in features
-        )
-        return f"named_struct('feature', {name}, 'repeat', {r}, {cells})"
-
-    # One branch per repeat keeps the rows narrow; all branches read the same exchange.
-    branches = []
-    for r in range(1, repeats + 1):
-        wide = base.select(
-            "*", *[successor(f, r).alias(f"_p{i}") for i, f in enumerate(features)]
-        )
-        copies = [copy(None, 0)] if r == 1 else []
-        copies += [copy(f, r, f"_p{i}") for i, f in enumerate(features)]
-        exploded = F.expr(f"inline(array({', '.join(copies)}))")
-        branches.append(wide.select(col(key), *[col(k) for k in keep], exploded))
-    return reduce(DataFrame.unionAll, branches)
-
 
 def permutation_importance(
     df: DataFrame,
@@ -90,7 +153,6 @@ def permutation_importance(
     score: Callable[[DataFrame], DataFrame],
     repeats: int = REPEATS,
     seed: int = SEED,
-    block_rows: int = BLOCK_ROWS,
     label: str = "label",
 ) -> DataFrame:
     """(feature, importance_mean, importance_std): baseline AP minus AP when shuffled.
@@ -98,7 +160,7 @@ def permutation_importance(
     ``score`` adds ``probability`` to a frame of raw features, as a fitted pipeline
     does. The standard deviation over repeats is the population one.
     """
-    copies = permuted_copies(df, key, features, repeats, seed, block_rows, (label,))
+    copies = permuted_copies(df, key, features, repeats, seed, (label,))
     scored = score(copies).select("feature", "repeat", col(label).alias("label"), "probability")
     # Copies are counted by score before anything is written.
     counts = settle(counted_scores(scored, "label", "probability", ("feature", "repeat")))
@@ -127,3 +189,7 @@ def rank_importance(importance: DataFrame) -> DataFrame:
         "importance_mean",
         "importance_std",
     )
+
+
+# Workers need not have this package: its functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
@@ -15,6 +16,7 @@ from faultline.functions.columns import beside, col, number
 from faultline.operators import errors, models, thresholds
 from faultline.operators.artifact import build_metadata, load_artifact, save_artifact
 from faultline.operators.checks import require_scored, require_structure, split_integrity
+from faultline.operators.folds import FOLDS, fold_counts, stratified_folds
 from faultline.operators.importance import REPEATS, permutation_importance, rank_importance
 from faultline.operators.metrics import evaluate_models, fixed_threshold_metrics, ranking_metrics
 from faultline.operators.models import BOOSTING, COMPARISON_MODELS
@@ -107,6 +109,45 @@ def comparison_run(
     }
 
 
+def out_of_fold_scores(
+    df: DataFrame, spec: DatasetSpec, available: Models = COMPARISON_MODELS, folds: int = FOLDS
+) -> DataFrame:
+    """(model, key, fold, label, probability): every row once per model, by a fit without its fold.
+
+    A fold is a filter on a row-local expression, so no fit shuffles rows to leave others out.
+    """
+    require_structure(df, spec)
+    table = stratified_folds(df, spec.key, spec.target, folds=folds)
+    scored = []
+    for fold in range(folds):
+        fitted = models.fit_models(table.where(F.col("fold") != fold), spec, available)
+        held_out = table.where(F.col("fold") == fold)
+        scored.append(models.score_models(fitted, held_out, spec).withColumn("fold", F.lit(fold)))
+    together = reduce(DataFrame.unionByName, scored)
+    return together.select("model", col(spec.key), "fold", "label", "probability")
+
+
+def cross_validation(
+    df: DataFrame, spec: DatasetSpec, available: Models = COMPARISON_MODELS, folds: int = FOLDS
+) -> dict[str, DataFrame]:
+    """Metrics per model and fold, their mean and spread per model, and the folds' sizes.
+
+    All folds of all models are judged in one grouped job. The standard deviation over folds is
+    the population one.
+    """
+    scored = settle(out_of_fold_scores(df, spec, available, folds))
+    each = evaluate_models(scored, ("model", "fold"))
+    measured = ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
+    return {
+        "cross_validation": each,
+        "cross_validation_summary": each.groupBy("model").agg(
+            F.count(F.lit(1)).alias("folds"),
+            *[f(m).alias(f"{m}_{name}") for m in measured for name, f in (("mean", F.avg), ("std", F.stddev_pop))],
+        ),
+        "fold_counts": fold_counts(stratified_folds(df, spec.key, spec.target, folds=folds), spec.target),
+    }
+
+
 def baseline_training(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return model_comparison(df, spec, models.BASELINE_MODELS)
 

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import hashlib
 import os
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.sql import functions as F
@@ -143,10 +145,34 @@ def test_ranking_of_importance(spark):
     assert rows_of(out, "rank", "feature") == [(1, "c"), (2, "a"), (3, "b")]
 
 
-@pytest.mark.parametrize("block_rows", [1000, 30])
-def test_permuted_copies_are_permutations(table, block_rows):
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 99, 100, 101, 4096, 5000, 65537])
+def test_receivers_are_a_bijection(n):
+    ranks = np.arange(n)
+    for repeat in (1, 2):
+        to = importance.receivers(ranks, importance.round_keys("f", repeat, 42), n)
+        assert np.array_equal(np.sort(to), ranks)
+    a, b = importance.sides(n)
+    assert n <= a * b < n + a
+    if n > 4000:
+        # Givers and receivers are as far apart as in a random order: a third of the table.
+        assert abs(np.abs(to - ranks).mean() / n - 1 / 3) < 0.02
+        assert abs(np.corrcoef(to, ranks)[0, 1]) < 0.05
+        half = importance.receivers(ranks[: n // 3], importance.round_keys("f", 2, 42), n)
+        assert np.array_equal(half, to[: n // 3])
+
+
+@pytest.mark.parametrize("range_rows", [50_000, 10])
+def test_numbers_are_ranks_of_hashes(spark, monkeypatch, range_rows):
+    monkeypatch.setattr(importance, "RANGE_ROWS", range_rows)
+    keys = spark.range(500).repartition(7).select(F.col("id").alias("a key"))
+    found = {r["a key"]: r["_rank"] for r in importance.numbered(keys, "a key", 500).collect()}
+    order = sorted(range(500), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
+    assert found == {k: rank for rank, k in enumerate(order)}
+
+
+def test_permuted_copies_are_permutations(table):
     base = table.select("UDI", col(SPEC.target).alias("label"), *[col(f) for f in SPEC.features])
-    copies = importance.permuted_copies(base, "UDI", ("Type", "Torque [Nm]"), 2, block_rows=block_rows).collect()
+    copies = importance.permuted_copies(base, "UDI", ("Type", "Torque [Nm]"), 2).collect()
     assert len(copies) == 100 * (1 + 2 * 2)
     original = {r["UDI"]: r for r in copies if r["feature"] is None}
     for feature, other in (("Type", "Torque [Nm]"), ("Torque [Nm]", "Type")):
