@@ -253,11 +253,22 @@ def dataset_summary(spark, sf):
 
 @query(
     "duplicate_rows",
+    """SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_row_count FROM (
+      SELECT COLUMNS(*), count(*) AS n FROM lineitem GROUP BY ALL)""",
+)
+def duplicate_rows(spark, sf):
+    """Whole rows of the table with all its columns."""
+    return profile.duplicate_rows(b.read(spark, sf, "lineitem"))
+
+
+@query(
+    "duplicate_lines",
     """SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_row_count FROM (
       SELECT l_linestatus, l_quantity, l_discount, l_tax, count(*) AS n
       FROM lineitem GROUP BY ALL)""",
 )
-def duplicate_rows(spark, sf):
+def duplicate_lines(spark, sf):
+    """Four columns, so that most rows are repeated ones."""
     table = b.read(spark, sf, "lineitem")
     return profile.duplicate_rows(table.select("l_linestatus", "l_quantity", "l_discount", "l_tax"))
 

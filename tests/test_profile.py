@@ -194,3 +194,25 @@ def test_feature_projection_has_no_leaks(spark):
     out = checks.feature_projection(machine_table(spark, THREE), SPEC)
     assert out.columns == ["UDI", *SPEC.features, SPEC.target]
     assert TYPE == 2 and TARGET == 8
+
+
+@pytest.mark.parametrize("known_prints", [1_000_000, 0])
+def test_duplicates_are_compared_in_full(spark, known_prints):
+    rows = [(1, None, 0.0), (None, 1, -0.0), (1, None, -0.0), (2, 2, float("nan")), (2, 2, float("nan")), (3, 3, None)]
+    df = spark.createDataFrame(rows, "`a.b` int, `_n` int, c double")
+    assert one(profile.duplicate_rows(df, known_prints))["duplicate_row_count"] == 2
+    assert one(profile.duplicate_rows(df.limit(0), known_prints))["duplicate_row_count"] == 0
+    held = {r["metric"]: r["value"] for r in profile.dataset_summary(df).collect()}
+    assert held == {"row_count": 6, "column_count": 3, "duplicate_row_count": 2}
+
+
+def test_equal_prints_of_unlike_rows_are_no_duplicates(spark, monkeypatch):
+    same = lambda df: [F.lit(7).alias("_print1"), F.lit(7).alias("_print2")]
+    monkeypatch.setattr(profile, "row_print", same)
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (1, "x")], "a int, b string")
+    assert one(profile.duplicate_rows(df))["duplicate_row_count"] == 1
+
+
+def test_maps_count_as_rows(spark):
+    df = spark.sql("SELECT * FROM VALUES (map('a', 1)), (map('a', 1)), (map('b', 1)) t(m)")
+    assert one(profile.duplicate_rows(df))["duplicate_row_count"] == 1
