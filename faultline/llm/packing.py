@@ -3,7 +3,7 @@
 Documents are tokenized once, each task counting its pieces by length. The plan needs
 only the number of pieces of each length (at most `capacity` numbers), so it is made on
 the driver whatever the number of documents: sets of up to three pieces that provably
-dominate all alternatives for the longest piece are fixed and leave the instance, and the
+dominate all alternatives for one of them are fixed and leave the instance, and the
 rest is packed by best fit, longest first, with equal sequences kept as one pattern and a
 number. A piece finds its place from its rank among the pieces of its length.
 """
@@ -11,7 +11,7 @@ number. A piece finds its place from its rank among the pieces of its length.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,13 +36,17 @@ class Pattern:
 
 
 def reduce_dominated(counts: np.ndarray, capacity: int) -> tuple[list[Pattern], np.ndarray]:
-    """Fixes sets that dominate every other set with the longest remaining piece.
-
-    With a longest piece j, k the longest other piece that fits beside it and (a, b) the best
-    pair that fits: {j} is fixed when nothing fits, {j, k} when it fills the sequence, when
-    only one more piece could ever fit, or when at most two more could and k is at least
-    as long as any such pair together. Returns the patterns and what is left; it stops at
-    the first longest piece without such a set.
+    """Fixes sets that dominate every other set with one of their pieces; whatever its length.
+
+    Pieces that fill a sequence together come first: whatever an optimum holds beside one
+    can change places with the other. Then every length j, longest first, looks for a set
+    that dominates all sets with j. With k the longest other piece that fits beside it: {j}
+    when nothing fits; {j, k} when at most one more piece could fit, or when at most two could
+    and no such pair is longer than k; {j, k, b}, with b the longest piece beside both, when at
+    most two could fit and every pair that fits has a piece up to b or is no longer than k. A
+    fixed set leaves the instance as often as it can be formed, since fewer pieces allow fewer
+    alternatives. Passes over the lengths go on until one fixes nothing. Returns the
+    patterns and what is left.
     """
     left = counts.astype(np.int64).copy()
     held = [int(x) for x in np.flatnonzero(left)]
@@ -57,55 +61,66 @@ def reduce_dominated(counts: np.ndarray, capacity: int) -> tuple[list[Pattern],
             if not left[x]:
                 held.remove(x)
 
-    def smallest(n: int, without: int) -> int | None:
-        """Length of the n shortest pieces beside one of `without`; None if there are fewer."""
-        total = 0
-        for x in held:
-            free = int(left[x]) - (x == without)
-            used = min(n, free)
-            total, n = total + used * x, n - used
-            if not n:
-                return total
-        return None
-
-    while held:
-        j = held[-1]
-        room = capacity - j
-        at = bisect_left(held, room + 1) - 1
-        while at >= 0 and int(left[held[at]]) - (held[at] == j) <= 0:
-            at -= 1
-        if at < 0:
-            take(j)
-            continue
-        k = held[at]
-        two = smallest(2, j)
-        if k == room or two is None or two > room:
-            take(j, k)
-            continue
-        three = smallest(3, j)
-        if (three is None or three > room) and k >= _best_pair(held, left, j, room):
-            take(j, k)
-            continue
-        break
+    for x in held[::-1]:
+        y = capacity - x
+        if y == 0:
+            take(x)
+        elif y <= x and left[y] > (x == y):
+            take(x, y)
+    again = True
+    while again:
+        again = False
+        for j in held[::-1]:
+            while left[j] and (dominating := _dominating(held, left, j, capacity - j)):
+                take(*dominating)
+                again = True
     return fixed, left
 
 
-def _best_pair(held: list[int], left: np.ndarray, j: int, room: int) -> int:
-    """The largest sum of two pieces beside j that fits; 0 without one."""
-    best, low, high = 0, 0, len(held) - 1
-    while low <= high:
-        a, b = held[low], held[high]
-        enough = left[a] - (a == j) >= (2 if low == high else 1) and left[b] - (b == j) >= 1
-        if a + b > room:
-            high -= 1
-        else:
-            if enough:
-                best = max(best, a + b)
-            elif low < high and left[b] - (b == j) < 1:
+def _dominating(held: list[int], left: np.ndarray, j: int, room: int) -> tuple[int, ...]:
+    """The set of up to three pieces that dominates all sets with j; () if there is none."""
+
+    def longest(limit: int, *beside: int) -> int | None:
+        for x in held[bisect_right(held, limit) - 1 :: -1] if held[0] <= limit else ():
+            if left[x] > beside.count(x):
+                return x
+        return None
+
+    def overfull(n: int) -> bool:
+        """Whether even the n shortest pieces do not fit beside j."""
+        total = 0
+        for x in held:
+            used = min(n, int(left[x]) - (x == j))
+            total, n = total + used * x, n - used
+            if not n or total > room:
+                return total > room
+        return True
+
+    def best_pair(above: int) -> int:
+        """The largest sum of two pieces beside j that fits, both longer than `above`; else 0."""
+        pieces = held[bisect_right(held, above) : bisect_right(held, room)]
+        best, low, high = 0, 0, len(pieces) - 1
+        while low <= high:
+            a, b = pieces[low], pieces[high]
+            if left[a] <= (a == j):
+                low += 1
+            elif a + b > room or left[b] <= (b == j) + (a == b):
                 high -= 1
-                continue
-            low += 1
-    return best
+            else:
+                best, low = max(best, a + b), low + 1
+        return best
+
+    k = longest(room, j)
+    if k is None:
+        return (j,)
+    if k == room or overfull(2):
+        return (j, k)
+    if not overfull(3):
+        return ()
+    if best_pair(0) <= k:
+        return (j, k)
+    b = longest(room - k, j, k)
+    return (j, k, b) if b is not None and best_pair(b) <= k else ()
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
@@ -150,7 +165,10 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
 
 @dataclass(frozen=True)
 class Plan:
-    """Where the r-th piece of each length stands; arrays by length, then by first rank."""
+    """Where the r-th piece of each length stands; arrays by length, then by first rank.
+
+    The first `fixed` of the sequences come from the reduction.
+    """
 
     patterns: list[Pattern]
     first: list[np.ndarray]
@@ -158,6 +176,7 @@ class Plan:
     each: list[np.ndarray]
     offset: list[np.ndarray]
     sequences: int
+    fixed: int
 
     def places(self, lengths: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(sequence, offset) of the pieces with these lengths and ranks."""
@@ -199,6 +218,7 @@ def make_plan(counts: np.ndarray, capacity: int = CAPACITY) -> Plan:
         [c[2] for c in columns],
         [c[3] for c in columns],
         begin,
+        sum(p.number for p in fixed),
     )
 
 
@@ -274,13 +294,13 @@ def pack(
     blanks: bool = True,
     keep_ids: bool = False,
 ) -> DataFrame:
-    """(key, piece, start, length, ids_crc32, sequence_id, offset [, ids]) of every piece.
+    """(key, piece, start, length, ids_crc32, sequence_id, offset, fixed [, ids]) of every piece.
 
     Every row of `docs` is a document: its ids and then `end_id`, cut only when longer than
     `capacity`, into pieces of `capacity` after a first one that may be shorter. No
     sequence holds more than `capacity` ids, without gaps. Repeated rows are packed each; a
     null or empty text is the end id alone; an empty table has no sequences. Columns
-    other than key and text are not read.
+    other than key and text are not read. `fixed` says that the reduction made the sequence.
     """
     send_code(docs.sparkSession)
     made = settle(
@@ -309,8 +329,13 @@ def pack(
             sequence, offset = plan.places(lengths, batch.column(at("rank")).to_numpy())
             kept = [n for n in batch.schema.names if n != "rank"]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(at(n)) for n in kept), pa.array(sequence), pa.array(offset)],
-                names=[*kept, "sequence_id", "offset"],
+                [
+                    *(batch.column(at(n)) for n in kept),
+                    pa.array(sequence),
+                    pa.array(offset),
+                    pa.array(sequence < plan.fixed),
+                ],
+                names=[*kept, "sequence_id", "offset", "fixed"],
             )
 
     ranked = made.join(before, ["part", "length"]).select(
@@ -325,4 +350,4 @@ def pack(
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long"
     schema += ", ids array<long>" if keep_ids else ""
-    return ranked.mapInArrow(place, schema + ", sequence_id long, offset long")
+    return ranked.mapInArrow(place, schema + ", sequence_id long, offset long, fixed boolean")

@@ -311,6 +311,7 @@ def test_packing(docs, rows, none):
     sequences = defaultdict(list)
     for r in packed:
         sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        assert r["fixed"] or r["length"] < 2048
     for held in sequences.values():
         at = 0
         for offset, length in sorted(held):
@@ -468,6 +469,31 @@ def test_plan_of_packing_is_optimal_on_small_instances():
         held = Counter(x for p in plan.patterns for x in p.lengths * p.number)
         assert held == Counter(items)
         assert all(sum(p.lengths) <= capacity for p in plan.patterns)
+        assert plan.fixed == sum(p.number for p in fixed)
+
+
+def test_reduction_of_packing_reaches_every_length():
+    def reduced(items, capacity):
+        counts = np.bincount(np.array(items), minlength=capacity + 1)
+        fixed, left = packing.reduce_dominated(counts, capacity)
+        return Counter({tuple(sorted(p.lengths)): p.number for p in fixed}), left
+
+    # The longest piece, 70, has no dominating set; complements below it are fixed all the same.
+    fixed, left = reduced([70, 9, 8, 7, 6, 5, 4] + [60, 40] * 5 + [50] * 5, 100)
+    assert fixed[40, 60] == 5 and fixed[50, 50] == 2 and left[70] == 1
+    # At most two fit beside 80: 11 and 9 fill it.
+    assert reduced([80, 11, 9, 8], 100)[0] == Counter({(9, 11, 80): 1, (8,): 1})
+    # At most one more fits beside each of them.
+    assert reduced([67, 66, 34, 33], 100)[0] == Counter({(33, 67): 1, (34, 66): 1})
+    draw = np.random.default_rng(4)
+    counts = np.bincount(draw.integers(1, 2049, 20_000), minlength=2049)
+    plan = packing.make_plan(counts, 2048)
+    in_fixed = sum(len(p.lengths) * p.number for p in packing.reduce_dominated(counts, 2048)[0])
+    # At least every piece with a complement, some four fifths of evenly spread lengths.
+    pairs = np.minimum(counts[1:1024], counts[2047:1024:-1]).sum() + counts[1024] // 2
+    assert in_fixed >= 2 * pairs + counts[2048] > 0.8 * counts.sum()
+    assert plan.sequences >= plan.fixed >= pairs + counts[2048]
+    assert plan.sequences <= -(-int(counts @ np.arange(2049)) // 2048) * 1.01
 
 
 def test_pipeline_leaves_out_unseen_scripts_and_keeps_short_texts(spark):
