@@ -176,9 +176,16 @@ def write_tokens(
         if held:
             yield close()
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
-    ordered.mapInArrow(
+    # A repeated key is split by its texts, equal rows by their places: no key is one task.
+    rows = docs.select(
+        F.col(key).alias("key"),
+        F.col(text).alias("text"),
+        F.xxhash64(text).alias("print"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    order = ("key", "print", "place")
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select("key", "text").mapInArrow(
         shards,
         f"part long, shard long, values long, keys array<{kind}>, counts array<long>, payload binary",
     ).write.parquet(path)
