@@ -22,6 +22,7 @@ from faultline.functions.columns import (
     unpivot_numeric,
 )
 from faultline.functions.ordering import exact_quantiles, has_few_groups
+from faultline.operators.comoments import co_moments
 from faultline.operators.profile import numeric_summary
 from faultline.spec import DatasetSpec
 
@@ -69,43 +70,21 @@ def target_table(df: DataFrame, target: str, digits: int = 3) -> DataFrame:
     )
 
 
-# Column pairs whose sums one aggregate holds.
-PAIRS_PER_AGGREGATE = 100
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x, y, r) for all ordered pairs, each over rows where both are present.
 
-    Every aggregate reads the rows once for PAIRS_PER_AGGREGATE pairs, without copies of
-    rows; r is NULL where it is not a number.
+    One scan for any number of columns, without copies of rows. r is NULL where it is not a
+    number: with an infinity, or where a side is constant. Pairs that never stand together
+    have no row.
     """
-    spots = range(len(columns))
-    pairs = [(a, b) for a in spots for b in spots[a:]]
-    plain = df.select(*[number(c).alias(f"_v{i}") for i, c in enumerate(columns)])
-
-    def cell(a: int, b: int) -> str:
-        x, y, r = text(columns[a]), text(columns[b]), f"_r{a}_{b}"
-        shown = f"CASE WHEN abs({r}) < double('inf') THEN {r} END"
-        return f"named_struct('x', {x}, 'y', {y}, 'r', {shown}, '_n', _n{a}_{b})"
-
-    parts = []
-    for at in range(0, len(pairs), PAIRS_PER_AGGREGATE):
-        some = pairs[at : at + PAIRS_PER_AGGREGATE]
-        sums = plain.agg(
-            *[F.expr(f"corr(_v{a}, _v{b}) AS _r{a}_{b}") for a, b in some],
-            *[F.expr(f"count_if(_v{a} IS NOT NULL AND _v{b} IS NOT NULL) AS _n{a}_{b}") for a, b in some],
-        )
-        both = [p for a, b in some for p in dict.fromkeys(((a, b), (b, a)))]
-        turned = [cell(a, b) if a <= b else cell(b, a).replace(
-            f"'x', {text(columns[b])}, 'y', {text(columns[a])}",
-            f"'x', {text(columns[a])}, 'y', {text(columns[b])}",
-        ) for a, b in both]
-        parts.append(sums.select(F.expr(f"inline(array({', '.join(turned)}))")))
-    found = parts[0]
-    for more in parts[1:]:
-        found = found.unionAll(more)
-    # Pairs that never stand together have no row.
-    return found.where("_n > 0").select("x", "y", "r")
+    name = F.array(*map(F.lit, columns))
+    r = F.col("m_xy") / (F.sqrt("m_xx") * F.sqrt("m_yy"))
+    shown = (F.col("endless") == 0) & (F.col("m_xx") > 0) & (F.col("m_yy") > 0)
+    return co_moments(df, [number(c) for c in columns]).where("n > 0").select(
+        F.element_at(name, F.col("x") + 1).alias("x"),
+        F.element_at(name, F.col("y") + 1).alias("y"),
+        F.when(shown & (F.abs(r) < float("inf")), r).alias("r"),
+    )
 
 
 def range_review(
