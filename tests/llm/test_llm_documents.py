@@ -496,6 +496,24 @@ def test_reduction_of_packing_reaches_every_length():
     assert plan.sequences <= -(-int(counts @ np.arange(2049)) // 2048) * 1.01
 
 
+@pytest.mark.parametrize("one_text", [False, True])
+def test_token_files_split_a_repeated_key(spark, tmp_path, one_text):
+    texts = "'same words'" if one_text else "concat('words ', id)"
+    docs = spark.range(0, 4000, 1, 4).selectExpr("7L AS doc_id", f"{texts} AS text")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        pfor.write_tokens(docs, str(tmp_path / "t"), WORDS)
+    finally:
+        spark.conf.set(coalesce, before)
+    shards = spark.read.parquet(str(tmp_path / "t")).selectExpr("size(counts) AS n").collect()
+    assert sum(r["n"] for r in shards) == 4000 and max(r["n"] for r in shards) < 2000
+    got = pfor.read_tokens(spark, str(tmp_path / "t")).orderBy("start").collect()
+    ends = [r["start"] + r["n_tokens"] for r in got]
+    assert [r["start"] for r in got] == [0, *ends[:-1]]
+
+
 def test_pipeline_leaves_out_unseen_scripts_and_keeps_short_texts(spark):
     import corpus_pipeline
 
