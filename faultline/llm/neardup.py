@@ -5,6 +5,8 @@ class from the start. A class has 160 MinHash values: 32 bands of 5 propose pair
 parity bitmap of the values (an odd sketch, whose XOR with another one counts their
 differences) drops the pairs that are clearly below the limit. What stays is confirmed by
 the exact overlap of the full sets. Components of confirmed links are the groups.
+Texts are signed where they are read, and read again where full sets are needed: they
+are moved between tasks only if there are very many such documents.
 
 A band is not expanded into pairs. Its members meet its smallest member first; bands
 whose members have become one component that way are done. In the others only members
@@ -134,11 +136,11 @@ def most_odd_bits(
 
 
 _PRINTS = pa.schema(
-    [("key", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64())]
-)
-_SIGNED = pa.schema(
     [
-        ("rep", pa.int64()),
+        ("key", pa.int64()),
+        ("n", pa.int64()),
+        ("p1", pa.int64()),
+        ("p2", pa.int64()),
         ("bands", pa.list_(pa.int64())),
         ("sketch", pa.binary()),
     ]
@@ -182,17 +184,27 @@ def near_duplicates(
     send_code(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
 
+    signer = Signer()
+
     def print_row(k, own):
-        return (k, len(own), *Signer.print_of(own))
+        if k is None or not len(own):
+            return (k, len(own), *Signer.print_of(own), None, None)
+        values = signer.minhash(own)
+        return (k, len(own), *Signer.print_of(own), signer.bands(values), signer.sketch(values))
 
     prints = settle(
-        rows.mapInArrow(_with_rows((_PRINTS, print_row), width), "key long, n long, p1 long, p2 long")
+        rows.mapInArrow(
+            _with_rows((_PRINTS, print_row), width),
+            "key long, n long, p1 long, p2 long, bands array<long>, sketch binary",
+        )
+    )
+    found = prints.where("n > 0 AND key IS NOT NULL").withColumnRenamed("key", "rep")
+    classes = settle(found.groupBy("p1", "p2", "n").agg(F.min("rep").alias("rep")))
+    # One row per class brings its signature; rows that repeat a key bring theirs too.
+    signed = settle(
+        found.select("rep", "bands", "sketch").join(classes.select("rep"), "rep", "left_semi")
     )
-    found = prints.where("n > 0 AND key IS NOT NULL")
-    classes = settle(found.groupBy("p1", "p2", "n").agg(F.min("key").alias("rep")))
-    # One row per class brings its text; rows that repeat a key bring it again.
-    first = rows.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")
-    links = _links(first, width, percent)
+    links = _links(signed, rows.withColumnRenamed("key", "rep"), width, percent)
     labels = connected(links)
     named = settle(
         classes.join(labels, classes["rep"] == labels["node"], "left").select(
@@ -258,19 +270,8 @@ def one_of_each_group(
     return alone.union(one).union(held.where(empty).select("row")).select("row.*")
 
 
-def _links(first: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(signed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) that connect all classes which a chain of links connects."""
-    signer = Signer()
-
-    def sign_row(k, own):
-        values = signer.minhash(own)
-        return (k, signer.bands(values), signer.sketch(values))
-
-    signed = settle(
-        first.mapInArrow(
-            _with_rows((_SIGNED, sign_row), width), "rep long, bands array<long>, sketch binary"
-        )
-    )
     sketches = signed.select("rep", "sketch")
     in_band = signed.select("rep", F.explode("bands").alias("band"))
     # Only bands with several members are kept, each with its smallest one.
@@ -281,7 +282,6 @@ def _links(first: DataFrame, width: int, percent: int) -> DataFrame:
         .select("band", "low")
     )
     members = settle(in_band.join(met, "band").select("band", "low", "rep"))
-    texts = first.withColumnRenamed("key", "rep")
 
     tried = settle(
         members.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
@@ -326,6 +326,14 @@ def _across(rows: DataFrame) -> DataFrame:
     )
 
 
+def _chosen(texts: DataFrame, reps: DataFrame, most: int) -> DataFrame:
+    """The rows of `texts` whose rep is among `reps`, which has at most `most` rows."""
+    wanted = reps.select("rep").distinct()
+    if most <= SENT_KEYS:
+        wanted = F.broadcast(wanted)
+    return texts.join(wanted, "rep", "left_semi").select("rep", "text")
+
+
 def _close_in_crowds(
     rows: DataFrame, bands: DataFrame, texts: DataFrame, width: int, percent: int
 ) -> DataFrame:
@@ -343,8 +351,7 @@ def _close_in_crowds(
         return (k, odd_sketch(minhash(own, flip, times), bit, FINE_BITS))
 
     fine = settle(
-        texts.join(rows.select("rep").distinct(), "rep", "left_semi")
-        .select("rep", "text")
+        _chosen(texts, rows, rows.count())
         .mapInArrow(_with_rows((_FINE, fine_row), width), "rep long, fine binary")
         .dropDuplicates(["rep"])
     )
@@ -413,11 +420,11 @@ def confirmed(
     close = settle(
         pairs.join(at_b, "b").join(at_a, "a").select("a", "b", "sa", "sb").mapInArrow(near, "a long, b long")
     )
-    wanted = close.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    ends = close.select(F.explode(F.array("a", "b")).alias("rep"))
     sets = settle(
-        texts.join(wanted, "rep", "left_semi")
-        .select("rep", "text")
+        _chosen(texts, ends, 2 * close.count())
         .mapInArrow(_with_rows((_SETS, set_row), width), "rep long, items array<long>")
+        .where(F.size("items") > 0)
     )
     items_a = sets.select(F.col("rep").alias("a"), F.col("items").alias("ia"))
     items_b = sets.select(F.col("rep").alias("b"), F.col("items").alias("ib"))

@@ -7,8 +7,10 @@ import re
 from collections import Counter
 
 import llm_brute as brute
+import pytest
 
-from faultline.llm import queries
+from faultline.functions.settle import settle
+from faultline.llm import neardup, queries
 
 LICENCE_PHRASES = {
     "under the mit license": "mit",
@@ -55,3 +57,44 @@ def test_licence_query_counts_the_phrases_of_its_contract(spark, tmp_path):
     assert exact == Counter((i, *licence_row(t)) for i, t in rows)
     labels = {r["doc_id"]: r["labels"] for r in found}
     assert labels[3] == "mit" and labels[7] == "apache-2,cc-by-nc"
+
+
+def chain_rows():
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[4 * i : 4 * i + 100])) for i in range(40)]
+    rows += [(100 + i, " ".join(words[:60] + [f"u{i}_{j}" for j in range(60)])) for i in range(30)]
+    return rows + [(200, None), (201, ""), (202, "w1 w2"), (203, "w1 w2")]
+
+
+@pytest.mark.parametrize("sent", [neardup.SENT_KEYS, 0])
+def test_near_duplicates_move_no_text_between_tasks(spark, tmp_path, monkeypatch, sent):
+    """Unless there are more documents to compare in full than keys may be sent to all tasks."""
+    plans = []
+
+    def watched(df):
+        mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plans.append(df._jdf.queryExecution().explainString(mode))
+        return settle(df)
+
+    monkeypatch.setattr(neardup, "settle", watched)
+    monkeypatch.setattr(neardup, "SENT_KEYS", sent)
+    rows = chain_rows()
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = neardup.near_duplicates(docs, width=4).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute.groups(dict(rows), 4)
+    moved = re.findall(r"\) (?:Broadcast)?Exchange\s*\nInput \[\d+\]: \[(.*)\]", "\n".join(plans))
+    assert moved and any("text#" in columns for columns in moved) == (sent == 0)
+
+
+def test_empty_texts_of_repeated_keys_link_nothing(spark):
+    common = " ".join(f"c{i}" for i in range(30))
+    rows = [(i, f"{common} " + " ".join(f"d{i}_{j}" for j in range(12))) for i in (1, 2)]
+    docs = spark.createDataFrame([*rows, (1, ""), (2, None)], "doc_id long, text string")
+    found = neardup.near_duplicates(docs, width=4).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(1, 1), (2, 2)}
