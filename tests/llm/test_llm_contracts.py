@@ -7,10 +7,12 @@ import re
 from collections import Counter
 
 import llm_brute as brute
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from faultline.functions.settle import settle
-from faultline.llm import neardup, queries
+from faultline.llm import neardup, queries, tokens
 
 LICENCE_PHRASES = {
     "under the mit license": "mit",
@@ -98,3 +100,21 @@ def test_empty_texts_of_repeated_keys_link_nothing(spark):
     docs = spark.createDataFrame([*rows, (1, ""), (2, None)], "doc_id long, text string")
     found = neardup.near_duplicates(docs, width=4).collect()
     assert {(r["doc_id"], r["component_id"]) for r in found} == {(1, 1), (2, 2)}
+
+
+@pytest.mark.parametrize("name, blanks", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_full_table_of_pieces_keeps_those_met_again(monkeypatch, name, blanks):
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    own = tokens.PieceEncoder(path, blanks, remembered=300)
+    asked = Counter()
+    ids = own._ids
+    monkeypatch.setattr(own, "_ids", lambda key: (asked.update([key]), ids(key))[1])
+    draw = random.Random(2)
+    common = ["x"] + ["".join(draw.choices("abcdeéß", k=5)) for _ in range(100)]
+    for _ in range(60):
+        rare = ["".join(draw.choices("fghijkö", k=8)) + draw.choice(["", ",", "!"]) for _ in range(40)]
+        text = " ".join(["x", *draw.sample(common[1:] + rare, 140)])
+        assert own.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert own.known == len(own.place) <= 300 + 200
+    assert max(asked[word] for word in common[1:]) <= 2
