@@ -94,7 +94,9 @@ class PieceEncoder:
             self._forget()
             return
         names = list(self.place)
-        self.place = Places(zip(map(names.__getitem__, kept.tolist()), range(len(kept))))
+        names = [names[i] for i in kept.tolist()]
+        self.place.clear()  # else both tables would be held at once
+        self.place.update(zip(names, range(len(names))))
         begin = self.limits[kept]
         lengths = self.limits[kept + 1] - begin
         ends = np.cumsum(lengths)
