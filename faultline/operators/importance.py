@@ -3,8 +3,9 @@
 Rows are numbered 0 to n - 1 by a hash of their key: ranks inside hash ranges of bounded
 size, plus the sizes of the ranges before. For every (feature, repeat) a keyed Feistel
 network with cycle walking is a bijection of these numbers: row ``i`` gives its feature to row
-``f(i)``, wherever in the table that is. Giving is a narrow row (receiver, feature, repeat,
-value), and one join on the receiver's number makes all copies of all features and repeats.
+``f(i)``, wherever in the table that is. A task packs what its rows give into one row per block
+of receivers, 4 bytes and the value for each gift; a block meets its gifts in one task, which
+makes all copies of all features and repeats.
 """
 
 from __future__ import annotations
@@ -15,14 +16,14 @@ import sys
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from faultline.functions.arguments import at_least_one
 from faultline.functions.columns import col
-from faultline.functions.columns import text as literal
 from faultline.functions.settle import settle
 from faultline.operators.metrics import counted_scores, ranking_of_counts
 from faultline.spec import SEED
@@ -30,6 +31,8 @@ from faultline.spec import SEED
 REPEATS = 10
 # Rows of one hash range, about, and hex digits of the finest ranges (16^5 sizes of 16 bytes).
 RANGE_ROWS, RANGE_DIGITS = 50_000, 5
+# Rows of all copies of a block, about, and gifts that a task packs at a time.
+COPIED_ROWS, GIFTS = 2**18, 2**19
 # The mixing function of a round: two multiplications modulo a prime.
 ROUNDS, PRIME, FIRST, SECOND = 6, 2**31 - 1, 1_103_515_245, 1_664_525
 
@@ -106,44 +109,83 @@ def permuted_copies(
     at_least_one(len(features), "number of features")
     base = df.select(col(key), *[col(k) for k in keep], *[col(f) for f in features])
     n = df.count()
-    ranked = numbered(base, key, n)
-    every = [(i, f, r) for i, f in enumerate(features) for r in range(1, repeats + 1)]
-    keys = [round_keys(f, r, seed) for _, f, r in every]
-
-    @F.pandas_udf("array<bigint>")
-    def targets(rank: pd.Series) -> pd.Series:
-        ranks = rank.to_numpy()
-        found = np.stack([receivers(ranks, k, n) for k in keys], axis=1)
-        return pd.Series(list(found), dtype=object)
-
-    def value(at: int | None) -> Column:
-        """The features of a giver, all but the given one empty."""
-        cells = [
-            (col(f) if i == at else F.lit(None).cast(base.schema[f].dataType)).alias(f"v{i}")
-            for i, f in enumerate(features)
-        ]
-        return F.struct(*cells)
-
-    def given(at: int, i: int | None, r: int) -> Column:
-        receiver = F.col("_rank") if i is None else F.col("_targets")[at]
-        which = F.lit(-1 if i is None else i)
-        return F.struct(
-            receiver.alias("_to"), which.alias("_at"), F.lit(r).alias("repeat"), value(i).alias("_given")
-        )
-
-    gifts = [given(-1, None, 0)] + [given(at, i, r) for at, (i, _, r) in enumerate(every)]
-    giving = ranked.withColumn("_targets", targets("_rank")).select(F.inline(F.array(*gifts)))
-    name = F.expr("CASE _at " + " ".join(f"WHEN {i} THEN {literal(f)}" for i, f in enumerate(features)) + " END")
-    return ranked.join(giving, F.col("_rank") == F.col("_to")).select(
-        col(key),
-        *[col(k) for k in keep],
-        name.alias("feature"),
-        "repeat",
-        *[
-            F.when(F.col("_at") == i, F.col(f"_given.v{i}")).otherwise(col(f)).alias(f)
-            for i, f in enumerate(features)
-        ],
+    keys = [[round_keys(f, r, seed) for r in range(1, repeats + 1)] for f in features]
+    copies = len(features) * repeats + 1
+    size, batch_rows = max(1, COPIED_ROWS // copies), max(1, GIFTS // copies)
+    ranked = numbered(base, key, n).withColumn("_block", F.expr(f"CAST(_rank DIV {size} AS BIGINT)"))
+    places = [base.columns.index(f) for f in features]
+    types = [base.schema[f].dataType for f in features]
+    packed = StructType([StructField("_block", LongType())])
+    for i, kind in enumerate(types):
+        packed.add(f"t{i}", ArrayType(IntegerType())).add(f"v{i}", ArrayType(kind))
+
+    def give(batches):
+        """Per block of receivers, for each feature: (repeat, place in the block) and value of each gift."""
+        for table in _gathered(batches, batch_rows):
+            ranks = table.column("_rank").to_numpy()
+            out, some = [], np.zeros(-(-n // size), bool)
+            for i, own in enumerate(keys):
+                to = np.concatenate([receivers(ranks, k, n) for k in own])
+                block = to // size
+                order = np.argsort(block.astype(np.uint16) if len(some) < 2**16 else block, kind="stable")
+                counts = np.bincount(block, minlength=len(some))
+                some |= counts > 0
+                ends = pa.array(np.concatenate([[0], counts.cumsum()]), pa.int32())
+                repeat, giver = np.divmod(order, len(ranks))
+                place = (repeat * size + to[order] % size).astype(np.int32)
+                value = table.column(f"v{i}").combine_chunks().take(pa.array(giver))
+                out += [pa.ListArray.from_arrays(ends, pa.array(place)), pa.ListArray.from_arrays(ends, value)]
+            names = ["_block", *[f"{c}{i}" for i in range(len(keys)) for c in "tv"]]
+            blocks = pa.RecordBatch.from_arrays([pa.array(np.arange(len(some))), *out], names=names)
+            yield blocks.filter(pa.array(some))
+
+    kept = len(base.columns) - len(features)
+    names = [*base.columns[:kept], "feature", "repeat", *features]
+
+    def copied(rows: list, feature: str | None, repeat: np.ndarray) -> pa.Table:
+        which = pa.array([feature], pa.string()).take(pa.array(np.zeros(len(repeat), np.int64)))
+        return pa.Table.from_arrays([*rows[:kept], which, pa.array(repeat, pa.int32()), *rows[kept:]], names=names)
+
+    def meet(own: pa.Table, gifts: pa.Table) -> pa.Table:
+        """All copies of the rows of one block."""
+        at = np.full(size, -1)
+        at[own.column("_rank").to_numpy() % size] = np.arange(own.num_rows)
+        rows = [own.column(i).combine_chunks() for i in range(len(base_columns))]
+        found = [copied(rows, None, np.zeros(own.num_rows))]
+        for i, feature in enumerate(features if gifts.num_rows else ()):
+            repeat, place = np.divmod(gifts.column(f"t{i}").combine_chunks().flatten().to_numpy(), size)
+            value = gifts.column(f"v{i}").combine_chunks().flatten()
+            receiver = at[place]
+            there = receiver >= 0
+            if not there.all():
+                repeat, receiver, value = repeat[there], receiver[there], value.filter(pa.array(there))
+            taken = [one.take(pa.array(receiver)) if j != places[i] else value for j, one in enumerate(rows)]
+            found.append(copied(taken, feature, repeat + 1))
+        return pa.concat_tables(found)
+
+    base_columns = base.columns
+    schema = StructType(
+        [*base.schema.fields[:kept], StructField("feature", StringType()), StructField("repeat", IntegerType())]
+        + base.schema.fields[kept:]
     )
+    giving = ranked.select("_rank", *[col(f).alias(f"v{i}") for i, f in enumerate(features)]).mapInArrow(give, packed)
+    rows = ranked.select(*[col(c) for c in base_columns], "_rank", "_block")
+    return rows.groupBy("_block").cogroup(giving.groupBy("_block")).applyInArrow(meet, schema)
+
+
+def _gathered(batches, rows: int):
+    """Tables of at least so many rows, but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            part = batch.slice(start, rows)
+            held.append(part)
+            size += part.num_rows
+            if size >= rows:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held)
 
 
 def permutation_importance(
@@ -162,7 +204,7 @@ def permutation_importance(
     """
     copies = permuted_copies(df, key, features, repeats, seed, (label,))
     scored = score(copies).select("feature", "repeat", col(label).alias("label"), "probability")
-    # Copies are counted by score before anything is written.
+    # Copies are counted by score, in packed lists, before anything is written.
     counts = settle(counted_scores(scored, "label", "probability", ("feature", "repeat")))
     # features x repeats + 1 rows from here on.
     each = ranking_of_counts(counts, ("feature", "repeat"))

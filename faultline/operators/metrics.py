@@ -7,9 +7,12 @@ as a model, site or segment, so many models are judged in one job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
 from faultline.functions.arguments import threshold_list, threshold_value
 from faultline.functions.columns import (
@@ -18,10 +21,12 @@ from faultline.functions.columns import (
     checked_score,
     col,
     count_where,
+    match,
     names_of,
     ratio,
 )
-from faultline.functions.ordering import running_totals
+from faultline.functions.ordering import BUCKET_ROWS, MOST_BUCKETS, running_totals
+from faultline.functions.scorelists import listed, pieces, range_sizes, ranked, sampled
 from faultline.spec import THRESHOLDS
 
 COUNTS = ("true_negative", "false_positive", "false_negative", "true_positive")
@@ -114,16 +119,20 @@ def score_curve(
 def counted_scores(
     df: DataFrame, label: str, probability: str, group_by: str | Sequence[str] = ()
 ) -> DataFrame:
-    """(group..., probability, positives, negatives): one row per distinct score."""
-    return (
-        df.select(
-            *[col(g) for g in names_of(group_by)],
-            checked_score(probability).alias("probability"),
-            checked_label(label).cast("bigint").alias("_y"),
-        )
-        .groupBy(*[col(g) for g in names_of(group_by)], "probability")
-        .agg(F.sum("_y").alias("positives"), F.sum(1 - F.col("_y")).alias("negatives"))
+    """(group..., scores, positives, negatives): lists of distinct scores, falling, with their counts.
+
+    A group has several lists, each of some rows of one task; a score may stand in more than one.
+    """
+    groups = names_of(group_by)
+    checked = df.select(
+        *[col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+        checked_score(probability).cast("double").alias("_p"),
+        checked_label(label).cast("bigint").alias("_y"),
     )
+    schema = StructType([StructField(f"_g{i}", df.schema[g].dataType) for i, g in enumerate(groups)])
+    schema = schema.add("scores", BinaryType()).add("positives", BinaryType()).add("negatives", BinaryType())
+    lists = checked.mapInArrow(lambda batches: listed(batches, len(groups)), schema)
+    return lists.select(*[F.col(f"_g{i}").alias(g) for i, g in enumerate(groups)], "scores", "positives", "negatives")
 
 
 def _curve(
@@ -191,10 +200,81 @@ def ranking_metrics(df: DataFrame, group_by: str | Sequence[str] = (), **options
 def ranking_of_counts(
     counts: DataFrame, group_by: str | Sequence[str] = (), buckets: int | None = None
 ) -> DataFrame:
-    """``ranking_metrics`` from rows of ``counted_scores``."""
+    """``ranking_metrics`` from rows of ``counted_scores``, which are read up to four times: settle them.
+
+    Each group gets ranges of scores, about BUCKET_ROWS scores in each, bounded by scores that
+    its lists hold at even steps. The counts of all ranges come to the driver, a few numbers each,
+    and a range is merged and ranked in one task that knows what the ranges above it hold.
+    """
     groups = names_of(group_by)
-    measures = {"positives": F.col("positives"), "negatives": F.col("negatives")}
-    return _ranked(_curve(counts, measures, "probability", groups, buckets), groups)
+    if not groups:
+        return ranking_of_counts(counts.withColumn("_all", F.lit(0)), "_all", buckets).drop("_all")
+    keys = [f"_g{i}" for i in range(len(groups))]
+    named = counts.select(
+        *[col(g).alias(k) for g, k in zip(groups, keys, strict=True)], "scores", "positives", "negatives"
+    )
+    fields = [StructField(k, counts.schema[g].dataType) for g, k in zip(groups, keys, strict=True)]
+    kinds = {"double": DoubleType(), "long": LongType(), "binary": BinaryType()}
+
+    def schema(**more: str) -> StructType:
+        return StructType([*fields, *[StructField(n, kinds[k]) for n, k in more.items()]])
+
+    def by_key(rows) -> dict[tuple, list]:
+        found: dict[tuple, list] = {}
+        for row in rows:
+            found.setdefault(tuple(row)[: len(keys)], []).append(tuple(row)[len(keys) :])
+        return found
+
+    whole = named.groupBy(*keys).agg(F.sum(F.length("scores") / 8).cast("bigint")).collect()
+    # Powers of 2, so that groups share the jobs that find their bounds.
+    wanted = {
+        key: min(1 << max(0, -(-sizes[0][0] // BUCKET_ROWS) - 1).bit_length() if buckets is None else buckets, MOST_BUCKETS)
+        for key, sizes in by_key(whole).items()
+    }
+    bounds = {}
+    if any(w > 1 for w in wanted.values()):
+        steps = {key: max(1, BUCKET_ROWS // 32 if buckets is None else 1) for key in wanted}
+        sample = named.mapInArrow(lambda b: sampled(b, len(keys), steps), schema(_score="double", _n="long"))
+        shares = {w: [k / w for k in range(1, w)] for w in set(wanted.values()) if w > 1}
+        for w, fractions in shares.items():
+            of = reduce(or_, [_same(keys, key) for key, one in wanted.items() if one == w])
+            quantiles = F.percentile("_score", fractions, F.col("_n")).alias("_bounds")
+            for key, found in by_key(sample.where(of).groupBy(*keys).agg(quantiles).collect()).items():
+                bounds[key] = sorted(set(found[0][0]))
+    counted = named.mapInArrow(
+        lambda b: range_sizes(b, len(keys), bounds),
+        schema(_range="long", _positives="long", _negatives="long"),
+    )
+    sizes = counted.groupBy(*keys, "_range").agg(F.sum("_positives"), F.sum("_negatives")).collect()
+    before: dict[tuple, tuple[int, int]] = {}
+    total: dict[tuple, tuple[int, int]] = {}
+    for key, ranges in by_key(sizes).items():
+        p = n = 0
+        for place, positives, negatives in sorted(ranges, reverse=True):
+            before[*key, place] = (p, n)
+            p, n = p + positives, n + negatives
+        total[key] = (p, n)
+    parts = named.mapInArrow(
+        lambda b: pieces(b, len(keys), bounds),
+        schema(_range="long", scores="binary", positives="binary", negatives="binary"),
+    )
+    sums = parts.groupBy(*keys, "_range").applyInArrow(
+        lambda key, table: ranked(key, table, len(keys), before),
+        schema(_pairs="double", _steps="double"),
+    )
+    rows = [(*key, float(a), float(b)) for key, (a, b) in total.items()]
+    known = counts.sparkSession.createDataFrame(rows, schema(_p="double", _n="double"))
+    each = match(sums.groupBy(*keys).agg(F.sum("_pairs").alias("_pairs"), F.sum("_steps").alias("_steps")), known, keys)
+    p, n = F.col("_p"), F.col("_n")
+    return each.select(
+        *[col(k).alias(g) for g, k in zip(groups, keys, strict=True)],
+        F.when((p > 0) & (n > 0), F.col("_pairs") / (p * n)).alias("roc_auc"),
+        F.when(p > 0, F.col("_steps") / p).alias("average_precision"),
+    )
+
+
+def _same(keys: list[str], values: tuple) -> Column:
+    return reduce(and_, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, values, strict=True)], F.lit(True))
 
 
 def _ranked(curve: DataFrame, groups: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tables import one, rows_of, scored
 
 from faultline.functions.arguments import cost_pair, rate, threshold_list
+from faultline.functions import scorelists
 from faultline.operators import metrics
 from faultline.operators.checks import score_check
 from faultline.spec import THRESHOLDS
@@ -162,3 +163,27 @@ def test_evaluate_models_and_report(spark):
     assert rows[0]["roc_auc"] == 0.75 and rows[0]["f1"] == 0.5
     report = {r["class"]: r for r in metrics.classification_report(df).collect()}
     assert set(report) == {"0", "1", "macro", "weighted"} and report["weighted"]["support"] == 4
+
+
+@pytest.mark.parametrize("buckets", [None, 1, 7])
+@pytest.mark.parametrize("group_by", [(), ("a group",), ("a group", "r")])
+def test_ranking_of_packed_lists(spark, monkeypatch, group_by, buckets):
+    monkeypatch.setattr(scorelists, "LISTED_ROWS", 700)
+    score = F.pmod(F.xxhash64("id"), F.lit(500)) / F.lit(500.0)
+    df = spark.range(3000).repartition(3).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("g"), F.col("id") % 3)).alias("a group"),
+        (F.col("id") % 2).alias("r"),
+        F.when(F.col("id") % 5 == 0, 0.5).otherwise(score).alias("probability"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(7)) == 0).cast("int").alias("label"),
+    )
+    df = df.unionAll(spark.createDataFrame([("z", 0, -0.0, 1), ("y", 0, 0.0, 0)], df.schema))
+    counts = metrics.counted_scores(df, "label", "probability", group_by)
+    groups = df.select(*[F.col(g) for g in group_by]).distinct().count()
+    # Lists, a few for each group and task, not a row for each score.
+    assert counts.count() <= 15 * groups + 2
+    wanted = {tuple(r)[:-2]: tuple(r)[-2:] for r in metrics.ranking_metrics(df, group_by).collect()}
+    found = {tuple(r)[:-2]: tuple(r)[-2:] for r in metrics.ranking_of_counts(counts, group_by, buckets).collect()}
+    assert found.keys() == wanted.keys()
+    for key, values in wanted.items():
+        for a, b in zip(found[key], values, strict=True):
+            assert a == b if b is None else a == pytest.approx(b)
