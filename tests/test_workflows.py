@@ -11,11 +11,13 @@ from tables import SPEC, machine_rows, machine_table, one, rows_of, scored
 
 from faultline.functions.columns import col
 from faultline.operators import artifact, importance, models
+from faultline.operators.boosting import LeafwiseBoosting
 from faultline.operators.checks import metadata_audit
 from faultline.operators.metrics import average_precision
 from faultline.operators.scoring import predict_scored
 from faultline.plans import workflows
 from faultline.sources.tables import load_prediction_input
+from faultline.spec import DatasetSpec
 from faultline.streaming.scoring import (
     flag_bad_scores,
     read_feature_stream,
@@ -309,3 +311,17 @@ def test_bad_scores_are_flagged_row_by_row(spark):
     df = spark.createDataFrame([(0.5,), (None,), (float("nan"),), (1.5,), (float("inf"),)], "probability double")
     faults = [f for (f,) in rows_of(flag_bad_scores(df), "score_fault")]
     assert faults == [None, "missing", "not_finite", "out_of_range", "not_finite"]
+
+
+def test_rows_are_scored_without_vectors(spark):
+    rows = [(i, f"{'ab'[i % 2]}" if i % 7 else None, float(i % 13) if i % 5 else None, int(i % 13 > 6 and i % 2)) for i in range(400)]
+    train = spark.createDataFrame(rows, "id int, `a kind` string, `x 1` double, y int").repartition(2)
+    spec = DatasetSpec(key="id", target="y", identifiers=("id",), categorical=("a kind",), numeric=("x 1",))
+    model = models.fit_model(models.BOOSTING, train, spec, {models.BOOSTING: lambda weight: LeafwiseBoosting(maxIter=5)})
+    new = train.unionByName(spark.createDataFrame([(400, "new", float("nan"), 1), (401, "", float("inf"), 0)], train.schema))
+    direct = models.score(model, new)
+    assert "vector" not in direct._jdf.queryExecution().optimizedPlan().toString().lower()
+    through = model.transform(new).select("id", models.positive_probability(model).alias("p"))
+    both = direct.join(through, "id").collect()
+    assert len(both) == 402 and all(r["probability"] == r["p"] for r in both)
+    assert len({r["p"] for r in both}) > 3
