@@ -403,7 +403,7 @@ def batch_prediction(
     """Score new rows with a saved artifact: (predictions, report).
 
     With ``output`` the rows are written to Parquet and counted on the way, so they are
-    read once; without it the rows are counted and checked in a pass of their own.
+    read once; without it they are settled, then counted and checked, so they are scored once.
     """
     rows = load_prediction_input(data, spec, spark)
     model, metadata = load_artifact(spark, artifact_path, spec)
@@ -427,6 +427,7 @@ def batch_prediction(
         report["prediction_count"] = seen.get["n"]
         predictions = spark.read.parquet(output)
     else:
+        predictions = settle(predictions)
         seen = predictions.agg(
             F.count(F.lit(1)),
             F.count_if(F.expr("NOT coalesce(failure_probability BETWEEN 0 AND 1, false)")),

@@ -325,3 +325,11 @@ def test_rows_are_scored_without_vectors(spark):
     both = direct.join(through, "id").collect()
     assert len(both) == 402 and all(r["probability"] == r["p"] for r in both)
     assert len({r["p"] for r in both}) > 3
+
+
+def test_predictions_are_scored_once(spark, table, saved):
+    rows = table.select("UDI", *[col(f) for f in SPEC.features])
+    predictions, report = workflows.batch_prediction(spark, rows, saved[0], SPEC)
+    # What was counted is what is read: settled rows, no scoring above them.
+    assert predictions._jdf.queryExecution().optimizedPlan().toString().count("\n") == 1
+    assert predictions.count() == report["prediction_count"] == 100
